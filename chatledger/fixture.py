@@ -38,8 +38,8 @@ def source_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = user % 5 * 86400 + user % 24 * 3600
     seconds = (
         F.when(user % 10 == 0, off)
-        .when(user % 10 <= 3, shift + F.floor(off / 600))
-        .otherwise(shift + F.floor(off / 60))
+        .when(user % 10 <= 3, shift + F.expr("off div 600"))
+        .otherwise(shift + F.expr("off div 60"))
     )
     when = F.timestamp_add("SECOND", seconds, start)
     rows = base.select(
@@ -48,7 +48,7 @@ def source_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(event % 223 == 5, "x12")
         .otherwise((user * 100 + F.floor(off / (days * 86400))).cast("string"))
         .alias("nro_caso"),
-        F.when(event % 227 != 5, F.date_format(when, "yyyy-MM-dd HH:mm:ss"))
+        F.when(event % 227 != 5, when.cast("string"))
         .alias("fecha_creacion"),
         F.when(event % 101 == 7, "OTHER").when(client, " inbound ").otherwise("OUTBOUND")
         .alias("direccionamiento"),
@@ -73,8 +73,11 @@ def source_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("mensaje "), k.cast("string")))
         .alias("contenido"),
     )
-    copies = rows.where(F.col("id") % 13 == 0).withColumn("id", F.col("id") + 1_000_000_000)
-    return rows.unionByName(copies)
+    row = F.struct(*rows.columns)
+    copy = row.withField("id", F.col("id") + 1_000_000_000)
+    return rows.select(
+        F.inline(F.when(F.col("id") % 13 == 0, F.array(row, copy)).otherwise(F.array(row)))
+    )
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,11 @@ def in_date_range(col: Column, since: dt.date, until: dt.date) -> Column:
     return (col >= ntz(since)) & (col < ntz(until + dt.timedelta(days=1)))
 
 
+def hour_number(col: Column) -> Column:
+    """Clock hours since 1970-01-01 00:00."""
+    return (F.unix_date(col.cast("date")) * 24 + F.hour(col)).cast("bigint")
+
+
 def truncate_millis(col: Column) -> Column:
     """Messages are stored with milliseconds; finer digits are cut."""
     extra = (F.extract(F.lit("SECOND"), col) * 1_000_000).cast("bigint") % 1000
@@ -64,12 +69,12 @@ def nearest_quarter(col: Column) -> Column:
 
 def day_month_year(col: Column) -> Column:
     """F10."""
-    return F.date_format(col, "dd/MM/yyyy")
+    return F.date_format(col.cast("date"), "dd/MM/yyyy")
 
 
 def minute_text(col: Column) -> Column:
     """``yyyy-MM-dd HH:mm``, nothing as ''."""
-    return F.coalesce(F.date_format(col, "yyyy-MM-dd HH:mm"), F.lit(""))
+    return F.coalesce(F.substring(col.cast("string"), 1, 16), F.lit(""))
 
 
 def lenient_timestamp(col: Column) -> Column:

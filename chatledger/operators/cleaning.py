@@ -13,8 +13,6 @@ from chatledger.functions import calendar as C
 from chatledger.functions.text import strip
 from chatledger.schemas import MESSAGES, SOURCE_COLUMNS
 
-_ISO_DATE = r"^\d{4}-\d{2}-\d{2}([ T]|$)"
-
 
 def source_projection(rows: DataFrame) -> DataFrame:
     """The eight source columns, so that a scan reads nothing else."""
@@ -26,13 +24,18 @@ def parsed_case(rows: DataFrame) -> Column:
 
 
 def parsed_time(rows: DataFrame) -> Column:
-    """The message time without zone, cut to milliseconds; unreadable is null."""
+    """The message time without zone; an unreadable text is null."""
     col = F.col("fecha_creacion")
-    if isinstance(rows.schema["fecha_creacion"].dataType, T.StringType):
-        col = F.when(strip(col).rlike(_ISO_DATE), strip(col).try_cast("timestamp_ntz"))
-    else:
-        col = col.cast("timestamp_ntz")
-    return C.truncate_millis(col)
+    if not isinstance(rows.schema["fecha_creacion"].dataType, T.StringType):
+        return col.cast("timestamp_ntz")
+    text = strip(col)
+    # the cast alone would also take '2024' or '2024-1-1'
+    full_date = (
+        (F.length(text) >= 10)
+        & (F.substring(text, 5, 1) == "-")
+        & (F.substring(text, 8, 1) == "-")
+    )
+    return F.when(full_date, text.try_cast("timestamp_ntz"))
 
 
 def clean_direction(col: Column) -> Column:
@@ -60,7 +63,13 @@ def reject_reason(rows: DataFrame) -> Column:
 
 def valid_rows(rows: DataFrame) -> DataFrame:
     """Usable rows, untouched."""
-    return rows.where(reject_reason(rows).isNull())
+    return rows.where(
+        F.col("nro_caso").isNotNull()
+        & F.col("fecha_creacion").isNotNull()
+        & clean_direction(F.col("direccionamiento")).isin("INBOUND", "OUTBOUND")
+        & parsed_case(rows).isNotNull()
+        & parsed_time(rows).isNotNull()
+    )
 
 
 def rejected_counts(rows: DataFrame) -> DataFrame:
@@ -78,7 +87,7 @@ def clean_messages(rows: DataFrame) -> DataFrame:
     columns = {
         "id": F.col("id").cast("bigint"),
         "nro_caso": parsed_case(rows),
-        "fecha_creacion": parsed_time(rows),
+        "fecha_creacion": C.truncate_millis(parsed_time(rows)),
         "direccionamiento": clean_direction(F.col("direccionamiento")),
         "usuario": clean_label(F.col("usuario")),
         "canal": clean_label(F.col("canal")),
@@ -95,8 +104,6 @@ def messages_between(messages: DataFrame, since: dt.date, until: dt.date) -> Dat
 
 def count_between(rows: DataFrame, since: dt.date, until: dt.date) -> DataFrame:
     """Number of source rows in the range, before any cleaning."""
-    in_range = C.in_date_range(parsed_time(rows), since, until)
-    if not isinstance(rows.schema["fecha_creacion"].dataType, T.StringType):
-        # a bare column, so that the source itself can apply the filter
-        in_range = C.in_date_range(F.col("fecha_creacion"), since, until)
-    return rows.where(in_range).agg(F.count("*").alias("total"))
+    return rows.where(C.in_date_range(parsed_time(rows), since, until)).agg(
+        F.count("*").alias("total")
+    )

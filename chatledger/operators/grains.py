@@ -29,7 +29,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatledger.functions import text as X
-from chatledger.functions.calendar import ntz
+from chatledger.functions.calendar import hour_number
+from chatledger.functions.numbers import micros_between
 from chatledger.rules import DEFAULT_RULES, Rules
 
 CASE = ("nro_caso",)
@@ -41,10 +42,6 @@ def _digest(col: Column) -> Column:
     return F.unhex(F.sha2(col, 256))
 
 
-def hour_number(col: Column) -> Column:
-    return F.timestamp_diff("HOUR", ntz("1970-01-01"), col)
-
-
 def collapse_copies(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per distinct ``key`` (nulls are equal) with the number of
     copies and the id, channel and campaign of the first copy."""
@@ -186,11 +183,9 @@ def cases(
     """One row per case: counts, first and last times, t0 and the replies to it."""
     case = W.partitionBy(*keys)
     earlier = case.orderBy("hora").rowsBetween(W.unboundedPreceding, -1)
-    placed = hour_rows.withColumns(
-        {
-            "t0": F.min("primer_cliente").over(case),
-            "anterior": F.max("ultima").over(earlier),
-        }
+    # the ordered window first: its sort then serves the other one too
+    placed = hour_rows.withColumn("anterior", F.max("ultima").over(earlier)).withColumn(
+        "t0", F.min("primer_cliente").over(case)
     )
     t0_hour = F.col("primer_cliente") == F.col("t0")
     later_hour = F.col("hora") > hour_number(F.col("t0"))
@@ -198,7 +193,7 @@ def cases(
     def reply(same_hour: str, any_time: str) -> Column:
         return F.min(F.when(t0_hour, F.col(same_hour)).when(later_hour, F.col(any_time)))
 
-    gap = F.timestamp_diff("MICROSECOND", F.col("anterior"), F.col("primera_chat.fecha"))
+    gap = micros_between(F.col("anterior"), F.col("primera_chat.fecha"))
     too_long = gap > rules.max_gap_hours * 3_600_000_000
     rows = placed.groupBy(*keys).agg(
         *_totals(),
@@ -246,10 +241,7 @@ def longest_gaps(messages: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame
     times = instants(messages, rules).where(F.col("total") > 0)
     in_hour = W.partitionBy(*CASE, "hora").orderBy("fecha_creacion")
     gaps = times.withColumn(
-        "hueco",
-        F.timestamp_diff(
-            "MICROSECOND", F.lag("fecha_creacion").over(in_hour), F.col("fecha_creacion")
-        ),
+        "hueco", micros_between(F.lag("fecha_creacion").over(in_hour), F.col("fecha_creacion"))
     )
     per_hour = gaps.groupBy(*CASE, "hora").agg(
         F.max("hueco").alias("hueco"),
@@ -260,7 +252,7 @@ def longest_gaps(messages: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame
     before = F.lag("ultima").over(W.partitionBy(*CASE).orderBy("hora"))
     across = per_hour.withColumn(
         "hueco",
-        F.greatest("hueco", F.timestamp_diff("MICROSECOND", before, F.col("primera"))),
+        F.greatest("hueco", micros_between(before, F.col("primera"))),
     )
     # several messages of one instant have a gap of zero between them
     longest = F.coalesce(F.max("hueco"), F.when(F.sum("total") > 1, F.lit(0)))

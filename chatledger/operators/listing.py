@@ -1,0 +1,81 @@
+"""The first N rows of a long ordered list, without sorting the list.
+
+A plain ``orderBy().limit(N)`` with a large N sends up to N rows of every
+partition to one task, and a ``row_number`` per section sorts a whole section in
+one task. Here counting comes first: the order is made of few blocks (period and
+section), so the counts per block tell which blocks lie inside the limit. Of the
+one block that crosses it, case-number ranges are counted in the same way. Only
+rows inside the limit plus at most one such range are sorted.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+RANGES = 4096
+
+
+def capped_listing(
+    rows: DataFrame,
+    limit: int,
+    blocks: Mapping[str, Column],
+    within: Sequence[str] = (),
+    key: str = "nro_caso",
+    tie: str = "fecha",
+) -> DataFrame:
+    """The first ``limit`` rows (per ``within``, if given) in the order of ``blocks``
+    (column name -> ordering), then ``key``. Adds ``truncado``.
+
+    The broadcast tables hold one row per block and at most ``RANGES`` rows per
+    crossing block: calendar periods times sections, never rows of the list."""
+    names = [*within, *blocks]
+    in_order = W.partitionBy(*within).orderBy(*blocks.values())
+    before = in_order.rowsBetween(W.unboundedPreceding, -1)
+
+    sizes = rows.groupBy(*names).agg(
+        F.count("*").alias("n"), F.min(key).alias("desde"), F.max(key).alias("hasta")
+    )
+    kept_blocks = (
+        sizes.withColumn("antes", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .withColumn("truncado", F.sum("n").over(W.partitionBy(*within)) > limit)
+        .where(F.col("antes") < limit)
+        .withColumn("cruza", F.col("antes") + F.col("n") > limit)
+        .select(*[F.col(n).alias(f"b_{n}") for n in names], "desde", "hasta", "truncado", "cruza")
+    )
+    share = (F.col(key) - F.col("desde")) / (F.col("hasta") - F.col("desde") + F.lit(1))
+    inside = rows.join(
+        F.broadcast(kept_blocks), [F.col(n).eqNullSafe(F.col(f"b_{n}")) for n in names]
+    ).select(
+        *rows.columns,
+        "truncado",
+        F.when(F.col("cruza"), F.coalesce(F.floor(share * RANGES), F.lit(-1)))
+        .otherwise(F.lit(-1))
+        .alias("tramo"),
+    )
+    by_range = W.partitionBy(*within).orderBy(*blocks.values(), "tramo")
+    kept_ranges = (
+        inside.groupBy(*names, "tramo")
+        .agg(F.count("*").alias("n"))
+        .withColumn(
+            "antes",
+            F.coalesce(F.sum("n").over(by_range.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)),
+        )
+        .where(F.col("antes") < limit)
+        .select(*[F.col(n).alias(f"b_{n}") for n in [*names, "tramo"]])
+    )
+    pruned = inside.join(
+        F.broadcast(kept_ranges),
+        [F.col(n).eqNullSafe(F.col(f"b_{n}")) for n in [*names, "tramo"]],
+        "left_semi",
+    )
+    order = [*blocks.values(), F.col(key).asc_nulls_first(), F.col(tie)]
+    if within:
+        place = F.row_number().over(W.partitionBy(*within).orderBy(*order))
+        pruned = pruned.withColumn("lugar", place).where(F.col("lugar") <= limit).drop("lugar")
+    else:
+        pruned = pruned.orderBy(*order).limit(limit)
+    return pruned.drop("tramo")
