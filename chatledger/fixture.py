@@ -7,9 +7,7 @@ exact copies under a new id.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from chatledger.functions.calendar import ntz
 from chatledger.operators.cleaning import clean_messages
 
 PERIODS = (
@@ -18,65 +16,53 @@ PERIODS = (
     ("2024-01-04", "2024-01-30"),
 )
 CALC_TIMES = ("2024-02-01 08:00:00", "2024-02-02 08:00:00", "2024-02-03 08:00:00")
+PERIOD_KEYS = ("periodo_desde", "periodo_hasta", "calc_ts", "nro_caso")
+
+_START = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
+_DAYS = "CASE WHEN user_id % 7 = 6 THEN 30 ELSE 1 + user_id % 7 END"
+_CLIENT = "event_type IN ('click', 'view')"
+_SHIFT = "user_id % 5 * 86400 + user_id % 24 * 3600"
+_SECONDS = (
+    f"CASE WHEN user_id % 10 = 0 THEN off WHEN user_id % 10 <= 3 THEN {_SHIFT} + off div 600"
+    f" ELSE {_SHIFT} + off div 60 END"
+)
+_COLUMNS = f"""struct(
+  event_id AS id,
+  CASE WHEN event_id % 211 = 5 THEN NULL WHEN event_id % 223 = 5 THEN 'x12'
+       ELSE CAST(user_id * 100 + off div (86400 * {_DAYS}) AS STRING) END AS nro_caso,
+  CASE WHEN event_id % 227 <> 5
+       THEN CAST(timestampadd(SECOND, {_SECONDS}, {_START}) AS STRING) END AS fecha_creacion,
+  CASE WHEN event_id % 101 = 7 THEN 'OTHER' WHEN {_CLIENT} THEN ' inbound '
+       ELSE 'OUTBOUND' END AS direccionamiento,
+  CASE WHEN event_type = 'purchase' THEN concat(' AGENTE ', user_id % 5, ' - a@example.com ')
+       WHEN event_type = 'error' THEN NULL ELSE 'SAGICC SISTEMA' END AS usuario,
+  CASE WHEN k < 10 THEN NULL WHEN k < 12 THEN '' ELSE concat('CANAL ', k % 3) END AS canal,
+  CASE WHEN k % 9 <> 0 THEN concat(' CAMP ', user_id % 4) END AS campania,
+  CASE WHEN event_id % 307 = 5 THEN repeat('x', 5000)
+       WHEN user_id % 11 = 3 AND {_CLIENT} THEN 'necesito mi factura'
+       WHEN k < 5 THEN NULL
+       WHEN k < 10 THEN concat('foto_', k, '.jpg')
+       WHEN k < 15 THEN 'Hola!'
+       WHEN k < 20 THEN 'gracias por todo'
+       WHEN k < 35 THEN concat('precio del combo ', k)
+       WHEN k < 50 THEN concat('parce, el turno ', k)
+       WHEN k < 53 THEN 'Llamada Saliente'
+       ELSE concat('mensaje ', k) END AS contenido)"""
 
 
 def source_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    start = ntz("2024-01-01 00:00:00")
-    base = events.select(
+    base = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_id",
         "user_id",
         "event_type",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.timestamp_diff("SECOND", start, F.col("ts").cast("timestamp_ntz")).alias("off"),
-    )
-    event, user, kind, k, off = (
-        F.col(c) for c in ("event_id", "user_id", "event_type", "k", "off")
-    )
-    days = F.when(user % 7 == 6, F.lit(30)).otherwise(user % 7 + 1)
-    client = kind.isin("click", "view")
-    shift = user % 5 * 86400 + user % 24 * 3600
-    seconds = (
-        F.when(user % 10 == 0, off)
-        .when(user % 10 <= 3, shift + F.expr("off div 600"))
-        .otherwise(shift + F.expr("off div 60"))
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        f"CAST(floor(CAST(CAST(ts AS TIMESTAMP_NTZ) - {_START} AS DECIMAL(18, 6))) AS BIGINT) AS off",
     )
-    when = F.timestamp_add("SECOND", seconds, start)
-    rows = base.select(
-        event.alias("id"),
-        F.when(event % 211 == 5, None)
-        .when(event % 223 == 5, "x12")
-        .otherwise((user * 100 + F.floor(off / (days * 86400))).cast("string"))
-        .alias("nro_caso"),
-        F.when(event % 227 != 5, when.cast("string"))
-        .alias("fecha_creacion"),
-        F.when(event % 101 == 7, "OTHER").when(client, " inbound ").otherwise("OUTBOUND")
-        .alias("direccionamiento"),
-        F.when(kind == "purchase",
-               F.concat(F.lit(" AGENTE "), (user % 5).cast("string"), F.lit(" - a@example.com ")))
-        .when(kind == "error", None)
-        .otherwise("SAGICC SISTEMA")
-        .alias("usuario"),
-        F.when(k < 10, None).when(k < 12, "")
-        .otherwise(F.concat(F.lit("CANAL "), (k % 3).cast("string"))).alias("canal"),
-        F.when(k % 9 != 0, F.concat(F.lit(" CAMP "), (user % 4).cast("string")))
-        .alias("campania"),
-        F.when(event % 307 == 5, F.repeat(F.lit("x"), F.lit(5000)))
-        .when((user % 11 == 3) & client, "necesito mi factura")
-        .when(k < 5, None)
-        .when(k < 10, F.concat(F.lit("foto_"), k.cast("string"), F.lit(".jpg")))
-        .when(k < 15, "Hola!")
-        .when(k < 20, "gracias por todo")
-        .when(k < 35, F.concat(F.lit("precio del combo "), k.cast("string")))
-        .when(k < 50, F.concat(F.lit("parce, el turno "), k.cast("string")))
-        .when(k < 53, "Llamada Saliente")
-        .otherwise(F.concat(F.lit("mensaje "), k.cast("string")))
-        .alias("contenido"),
-    )
-    row = F.struct(*rows.columns)
-    copy = row.withField("id", F.col("id") + 1_000_000_000)
-    return rows.select(
-        F.inline(F.when(F.col("id") % 13 == 0, F.array(row, copy)).otherwise(F.array(row)))
+    rows = base.selectExpr(f"{_COLUMNS} AS m")
+    return rows.selectExpr(
+        "inline(CASE WHEN m.id % 13 = 0 THEN array(m, struct(m.id + 1000000000 AS id,"
+        " m.nro_caso, m.fecha_creacion, m.direccionamiento, m.usuario, m.canal, m.campania,"
+        " m.contenido)) ELSE array(m) END)"
     )
 
 
@@ -86,22 +72,14 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def period_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages once per period they fall in, with the period and its run time."""
-    periods = F.array(
-        *[
-            F.struct(
-                F.lit(since).cast("date").alias("periodo_desde"),
-                F.lit(until).cast("date").alias("periodo_hasta"),
-                ntz(calc).alias("calc_ts"),
-            )
-            for (since, until), calc in zip(PERIODS, CALC_TIMES)
-        ]
+    periods = ", ".join(
+        f"struct(DATE'{since}' AS periodo_desde, DATE'{until}' AS periodo_hasta,"
+        f" TIMESTAMP_NTZ'{calc}' AS calc_ts)"
+        for (since, until), calc in zip(PERIODS, CALC_TIMES)
     )
-    day = F.col("fecha_creacion").cast("date")
-    hit = F.filter(
-        periods,
-        lambda p: (day >= p["periodo_desde"]) & (day <= p["periodo_hasta"]),
+    day = "CAST(fecha_creacion AS DATE)"
+    hit = (
+        f"filter(array({periods}),"
+        f" p -> {day} >= p.periodo_desde AND {day} <= p.periodo_hasta)"
     )
-    return interactions(spark, sf_dir).select("*", F.explode(hit).alias("p")).select("*", "p.*").drop("p")
-
-
-PERIOD_KEYS = ("periodo_desde", "periodo_hasta", "calc_ts", "nro_caso")
+    return interactions(spark, sf_dir).selectExpr("*", f"inline({hit})")

@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Iterable
 
 from chatledger import rules as R
 from chatledger.rules import DEFAULT_RULES, Rules
@@ -19,70 +15,83 @@ BLANKS = (
 )
 
 
-def strip(col: Column) -> Column:
-    return F.btrim(col, F.lit(BLANKS))
+def quoted(value: str) -> str:
+    """A SQL string literal, whatever the session's escaping rules are."""
+    if "\\" in value:
+        raise ValueError("backslashes are not supported in rule texts")
+    parts = [f"'{part}'" for part in value.split("'")]
+    return parts[0] if len(parts) == 1 else f"concat({', chr(39), '.join(parts)})"
+
+
+def strip(text: str) -> str:
+    return f"btrim({text}, {quoted(BLANKS)})"
 
 
-def normalize(col: Column) -> Column:
+def normalize(text: str) -> str:
     """Null becomes '', blanks at the ends go, lower case."""
-    return F.lower(strip(F.coalesce(col, F.lit(""))))
+    return f"lower({strip(f'coalesce({text}, {quoted(str())})')})"
 
 
-def contains_any(normalized: Column, terms: tuple[str, ...]) -> Column:
-    """Substring match of any term on an already normalised text."""
-    return reduce(or_, [normalized.contains(t) for t in terms], F.lit(False))
+def one_of(text: str, values: Iterable[str]) -> str:
+    listed = ", ".join(quoted(v) for v in values)
+    return f"{text} IN ({listed})" if listed else "false"
 
 
-def is_call_marker(normalized: Column, rules: Rules = DEFAULT_RULES) -> Column:
-    """The whole text is a call marker."""
-    return normalized.isin(*rules.call_markers)
+def contains_any(normalized: str, terms: Iterable[str]) -> str:
+    """Substring match of any term on an already normalised text. A term that
+    contains another one adds nothing and is not tested."""
+    terms = list(dict.fromkeys(terms))
+    needed = [t for t in terms if not any(o != t and o in t for o in terms)]
+    tests = [f"contains({normalized}, {quoted(t)})" for t in needed]
+    return f"({' OR '.join(tests) or 'false'})"
 
 
-def is_system_user(user: Column, rules: Rules = DEFAULT_RULES) -> Column:
-    """No user, a user of the system domain, or one with the system prefix."""
-    upper = F.upper(user)
-    named = upper.contains(rules.system_domain) | upper.startswith(rules.system_prefix)
-    return F.coalesce((user == "") | named, F.lit(True))
+def is_call_marker(normalized: str, rules: Rules = DEFAULT_RULES) -> str:
+    """The whole text is a call marker."""
+    return one_of(normalized, rules.call_markers)
 
 
-def is_inbound(direction: Column) -> Column:
-    return direction == "INBOUND"
+def is_system_user(user: str, rules: Rules = DEFAULT_RULES) -> str:
+    """No user, a user of the system domain, or one with the system prefix."""
+    return (
+        f"coalesce({user} = '' OR contains(upper({user}), {quoted(rules.system_domain)})"
+        f" OR startswith(upper({user}), {quoted(rules.system_prefix)}), true)"
+    )
 
 
-def speaker(direction: Column, user: Column, rules: Rules = DEFAULT_RULES) -> Column:
+def speaker(direction: str, user: str, rules: Rules = DEFAULT_RULES) -> str:
     """P10: ``cliente``, ``bot`` or ``humano``."""
     return (
-        F.when(is_inbound(direction), "cliente")
-        .when(is_system_user(user, rules), "bot")
-        .otherwise("humano")
+        f"CASE WHEN {direction} = 'INBOUND' THEN 'cliente'"
+        f" WHEN {is_system_user(user, rules)} THEN 'bot' ELSE 'humano' END"
     )
 
 
-def is_trivial(normalized: Column, rules: Rules = DEFAULT_RULES) -> Column:
+def is_trivial(normalized: str, rules: Rules = DEFAULT_RULES) -> str:
     """Too short, a greeting, or a courtesy / survey phrase."""
-    bare = F.btrim(normalized, F.lit(R.TRIVIAL_STRIP))
+    bare = f"btrim({normalized}, {quoted(R.TRIVIAL_STRIP)})"
     return (
-        (F.length(bare) <= R.TRIVIAL_LENGTH)
-        | bare.isin(*rules.greetings)
-        | contains_any(bare, rules.non_substantive)
+        f"(length({bare}) <= {R.TRIVIAL_LENGTH} OR {one_of(bare, rules.greetings)}"
+        f" OR {contains_any(bare, rules.non_substantive)})"
     )
 
 
-def is_multimedia(normalized: Column, rules: Rules = DEFAULT_RULES) -> Column:
+def is_multimedia(normalized: str, rules: Rules = DEFAULT_RULES) -> str:
     """No text, a media file name, an omitted attachment, or a bare media word."""
+    bare = f"btrim({normalized}, {quoted(R.MEDIA_STRIP)})"
     return (
-        (normalized == "")
-        | contains_any(normalized, rules.media_extensions)
-        | normalized.contains(R.OMITTED_MEDIA)
-        | F.btrim(normalized, F.lit(R.MEDIA_STRIP)).isin(*rules.media_words)
+        f"({normalized} = '' OR {contains_any(normalized, rules.media_extensions)}"
+        f" OR contains({normalized}, {quoted(R.OMITTED_MEDIA)})"
+        f" OR {one_of(bare, rules.media_words)})"
     )
 
 
-def agent_name(user: Column) -> Column:
+def agent_name(user: str) -> str:
     """the part before the first ' - '; nothing left means no name."""
-    return F.nullif(strip(F.substring_index(user, " - ", 1)), F.lit(""))
+    name = strip(f"substring_index({user}, ' - ', 1)")
+    return f"nullif({name}, '')"
 
 
-def label_missing(col: Column, label: str) -> Column:
+def label_missing(text: str, label: str) -> str:
     """null gets a visible label; an empty text stays as it is."""
-    return F.coalesce(col, F.lit(label))
+    return f"coalesce({text}, {quoted(label)})"

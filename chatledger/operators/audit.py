@@ -6,12 +6,12 @@ same with a ``periodo`` column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatledger import rules as R
 from chatledger.functions.calendar import minute_text, period_label
+from chatledger.functions.text import quoted
 from chatledger.operators.listing import capped_listing
 
 SECTION_NAMES = tuple(R.SECTIONS.values())
@@ -23,35 +23,29 @@ GENERAL_TOTAL_TEXT = "Apariciones acumuladas en todos los periodos."
 
 def sections(spark: SparkSession) -> DataFrame:
     """The 13 sections: category, section name, position, description."""
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(category).alias("categoria"),
-                F.lit(section).alias("seccion"),
-                F.lit(position).alias("orden"),
-                F.lit(R.DESCRIPTIONS[section]).alias("descripcion"),
-            )
-            for position, (category, section) in enumerate(R.SECTIONS.items(), start=1)
-        ]
+    entries = ", ".join(
+        f"struct({quoted(category)} AS categoria, {quoted(section)} AS seccion,"
+        f" {position} AS orden, {quoted(R.DESCRIPTIONS[section])} AS descripcion)"
+        for position, (category, section) in enumerate(R.SECTIONS.items(), start=1)
     )
-    return spark.range(1).select(F.inline(entries))
+    return spark.range(1).selectExpr(f"inline(array({entries}))")
 
 
 def audit_rows(cases: DataFrame) -> DataFrame:
     """C3 + J1: one row per case and section. Categories without a section drop out.
     The broadcast side is the fixed list of 13 sections."""
-    tagged = cases.select(
-        "*", F.posexplode("categorias").alias("posicion", "categoria")
-    )
-    names = F.broadcast(sections(cases.sparkSession).select("categoria", "seccion"))
     extra = [c for c in ("periodo",) if c in cases.columns]
-    return tagged.join(names, "categoria").select(
+    tagged = cases.selectExpr(
         "nro_caso",
-        minute_text(F.col("fecha_caso")).alias("fecha"),
-        F.col("campania_caso").alias("campania"),
-        F.col("canal_caso").alias("canal"),
-        "seccion",
+        f"{minute_text('fecha_caso')} AS fecha",
+        "campania_caso AS campania",
+        "canal_caso AS canal",
         *extra,
+        "explode(categorias) AS categoria",
+    )
+    names = F.broadcast(sections(cases.sparkSession).select("categoria", "seccion"))
+    return tagged.join(names, "categoria").select(
+        "nro_caso", "fecha", "campania", "canal", "seccion", *extra
     )
 
 
@@ -64,15 +58,14 @@ def run_summary(cases: DataFrame) -> DataFrame:
     """A10: metrics computed, cases discarded, copies removed and the size of every
     section, zeros included. One global aggregate, nothing is exploded."""
     counts = {
-        "metricas_calculadas": F.count_if(~F.col("descartado")),
-        "casos_descartados": F.count_if(F.col("descartado")),
-        "registros_duplicados_eliminados": F.coalesce(
-            F.sum("duplicados_eliminados"), F.lit(0)
-        ),
+        "metricas_calculadas": "count_if(NOT descartado)",
+        "casos_descartados": "count_if(descartado)",
+        "registros_duplicados_eliminados": "coalesce(sum(duplicados_eliminados), 0L)",
+    } | {
+        section: f"count_if(array_contains(categorias, {quoted(category)}))"
+        for category, section in R.SECTIONS.items()
     }
-    for category, section in R.SECTIONS.items():
-        counts[section] = F.count_if(F.array_contains("categorias", category))
-    wide = cases.agg(*[c.cast("bigint").alias(name) for name, c in counts.items()])
+    wide = cases.agg(*[F.expr(f"{sql} AS {name}") for name, sql in counts.items()])
     return wide.unpivot([], list(counts), "concepto", "valor")
 
 
@@ -82,11 +75,11 @@ def with_section_order(audit: DataFrame) -> DataFrame:
     names = F.broadcast(
         sections(audit.sparkSession).select("seccion", "orden", "descripcion")
     )
-    return audit.join(names, "seccion", "left").withColumns(
-        {
-            "orden": F.coalesce("orden", F.lit(UNKNOWN_ORDER)),
-            "descripcion": F.coalesce("descripcion", F.lit("")),
-        }
+    joined = audit.join(names, "seccion", "left")
+    return joined.selectExpr(
+        *audit.columns,
+        f"coalesce(orden, {UNKNOWN_ORDER}) AS orden",
+        "coalesce(descripcion, '') AS descripcion",
     )
 
 
@@ -102,23 +95,21 @@ def audit_summary(audit: DataFrame, total_text: str = PERIOD_TOTAL_TEXT) -> Data
         .select("seccion", "casos", "orden", "descripcion")
     )
     # every section once with zero, so that empty ones are listed
-    blank = known.select("seccion", F.lit(0).cast("bigint").alias("casos"), "orden", "descripcion")
-    line = F.struct(
-        F.coalesce("orden", F.lit(UNKNOWN_ORDER)).alias("orden"),
-        F.col("seccion").alias("categoria"),
-        F.coalesce("descripcion", F.lit("")).alias("descripcion"),
+    blank = known.selectExpr("seccion", "0L AS casos", "orden", "descripcion")
+    line = (
+        f"struct(coalesce(orden, {UNKNOWN_ORDER}) AS orden, seccion AS categoria,"
+        " coalesce(descripcion, '') AS descripcion) AS linea"
     )
-    total = F.struct(
-        F.lit(UNKNOWN_ORDER + 1).alias("orden"),
-        F.lit(TOTAL).alias("categoria"),
-        F.lit(total_text).alias("descripcion"),
+    total = (
+        f"struct({UNKNOWN_ORDER + 1} AS orden, {quoted(TOTAL)} AS categoria,"
+        f" {quoted(total_text)} AS descripcion)"
     )
     return (
         counted.unionByName(blank)
-        .select(line.alias("linea"), "casos")
+        .selectExpr(line, "casos")
         .rollup("linea")
         .agg(F.sum("casos").alias("casos"), F.grouping("linea").alias("g"))
-        .select(F.when(F.col("g") == 1, total).otherwise(F.col("linea")).alias("linea"), "casos")
+        .selectExpr(f"CASE WHEN g = 1 THEN {total} ELSE linea END AS linea", "casos")
         .select("linea.orden", "linea.categoria", "casos", "linea.descripcion")
     )
 
@@ -135,14 +126,12 @@ def period_matrix(master: DataFrame, periods: DataFrame | None = None) -> DataFr
     other sections count in the total only. ``periods`` (column ``periodo``) adds
     periods without any appearance."""
     matrix = master.groupBy("periodo").agg(
-        *[F.count_if(F.col("seccion") == name).alias(name) for name in SECTION_NAMES],
+        *[F.expr(f"count_if(seccion = {quoted(name)}) AS {name}") for name in SECTION_NAMES],
         F.count("*").alias(TOTAL),
     )
     if periods is not None:
         matrix = periods.select("periodo").distinct().join(matrix, "periodo", "left").na.fill(0)
-    return matrix.select(
-        period_label(F.col("periodo")).alias("periodo"), *SECTION_NAMES, TOTAL
-    )
+    return matrix.selectExpr(f"{period_label('periodo')} AS periodo", *SECTION_NAMES, TOTAL)
 
 
 def appearances_per_period(master: DataFrame, periods: DataFrame | None = None) -> DataFrame:
@@ -157,33 +146,23 @@ def _detail(master: DataFrame) -> DataFrame:
     return with_section_order(master).select("periodo", "orden", "seccion", "nro_caso", "fecha")
 
 
-def _newest_first() -> list[Column]:
-    return [F.col("periodo").desc()]
-
-
 def all_cases_listing(master: DataFrame, limit: int = R.LISTING_ROWS) -> DataFrame:
     """O3: every appearance, newest period first, then section order, then case; at
     most ``limit`` rows. ``truncado`` tells whether rows were left out."""
     rows = capped_listing(
-        _detail(master),
-        limit,
-        blocks={"periodo": _newest_first()[0], "orden": F.col("orden").asc(),
-                "seccion": F.col("seccion").asc()},
+        _detail(master), limit, {"periodo": "DESC", "orden": "ASC", "seccion": "ASC"}
     )
-    return rows.select(
-        "nro_caso", "fecha", F.col("seccion").alias("categoria"),
-        period_label(F.col("periodo")).alias("periodo"), "truncado",
+    return rows.selectExpr(
+        "nro_caso", "fecha", "seccion AS categoria",
+        f"{period_label('periodo')} AS periodo", "truncado",
     )
 
 
 def section_listings(master: DataFrame, limit: int = R.LISTING_ROWS) -> DataFrame:
     """The same per section, each with its own limit and flag."""
-    rows = capped_listing(
-        _detail(master), limit, within=["seccion"], blocks={"periodo": _newest_first()[0]}
-    )
-    return rows.select(
-        "seccion", "nro_caso", "fecha", period_label(F.col("periodo")).alias("periodo"),
-        "truncado",
+    rows = capped_listing(_detail(master), limit, {"periodo": "DESC"}, within=["seccion"])
+    return rows.selectExpr(
+        "seccion", "nro_caso", "fecha", f"{period_label('periodo')} AS periodo", "truncado"
     )
 
 

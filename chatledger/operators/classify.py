@@ -17,108 +17,101 @@ from chatledger.schemas import METRICS
 
 SINGLE_MESSAGE = "mensaje_unico"  # a case left out without any audit category
 
-
-def discard_reason(rules: Rules = DEFAULT_RULES) -> Column:
-    """Why a case yields no metrics, the first rule that holds; null when it does."""
-    total, client = F.col("total"), F.col("cliente")
-    answers = F.col("bot") + F.col("humano")
-    no_sale = ~F.col("venta")
-    return (
-        F.when(F.col("hubo_llamada") & ((client == 0) | (answers == 0)), "llamada")
-        .when(total == 0, "vacio")
-        .when(total == 1, SINGLE_MESSAGE)
-        .when(F.col("hueco_largo"), "fechas_incoherentes")
-        .when(answers == 0, "solo_inbound")
-        .when(client == 0, "solo_outbound")
-        .when((F.col("textos") >= 2) & F.col("texto_unico"), "mensaje_repetido")
-        .when(no_sale & F.col("colaborador"), "colaborador")
-        .when(no_sale, "sin_palabras_venta")
-        .when(F.col("t_humano").isNull(), "sin_atencion_humana")
-    )
-
-
-def categories(rules: Rules = DEFAULT_RULES) -> Column:
+# Why a case yields no metrics, the first rule that holds; null when it does.
+DISCARD_REASON = f"""CASE
+  WHEN hubo_llamada AND (cliente = 0 OR bot + humano = 0) THEN 'llamada'
+  WHEN total = 0 THEN 'vacio'
+  WHEN total = 1 THEN '{SINGLE_MESSAGE}'
+  WHEN hueco_largo THEN 'fechas_incoherentes'
+  WHEN bot + humano = 0 THEN 'solo_inbound'
+  WHEN cliente = 0 THEN 'solo_outbound'
+  WHEN textos >= 2 AND texto_unico THEN 'mensaje_repetido'
+  WHEN NOT venta AND colaborador THEN 'colaborador'
+  WHEN NOT venta THEN 'sin_palabras_venta'
+  WHEN t_humano IS NULL THEN 'sin_atencion_humana'
+END"""
+
+
+def categories(rules: Rules = DEFAULT_RULES) -> str:
     """Audit categories of a case in the order in which they are tagged."""
-    reason = F.col("motivo_descarte")
-    kept = reason.isNull()
-    looked_for_copies = kept | reason.isin(
-        "solo_inbound", "colaborador", "sin_palabras_venta", "sin_atencion_humana"
-    )
-    return F.array_compact(
-        F.array(
-            F.when(F.col("hubo_llamada") & ~F.coalesce(reason == "llamada", F.lit(False)),
-                   "con_llamada"),
-            F.when(F.col("dup_sustantivo") & looked_for_copies, "duplicados"),
-            F.when(reason != SINGLE_MESSAGE, reason),
-            F.when(kept & F.col("t_bot").isNull(), "sin_bot"),
-            F.when(kept & (F.col("total") > rules.long_case_messages), "extraordinario"),
-        )
-    )
+    return f"""array_compact(array(
+      CASE WHEN hubo_llamada AND NOT motivo_descarte <=> 'llamada' THEN 'con_llamada' END,
+      CASE WHEN dup_sustantivo AND (motivo_descarte IS NULL OR motivo_descarte IN
+        ('solo_inbound', 'colaborador', 'sin_palabras_venta', 'sin_atencion_humana'))
+        THEN 'duplicados' END,
+      nullif(motivo_descarte, '{SINGLE_MESSAGE}'),
+      CASE WHEN motivo_descarte IS NULL AND t_bot IS NULL THEN 'sin_bot' END,
+      CASE WHEN motivo_descarte IS NULL AND total > {rules.long_case_messages}
+        THEN 'extraordinario' END))"""
 
 
 def metric_columns(calc_ts: dt.datetime | str | Column | None = None) -> dict[str, Column]:
-    """The 23 metrics by name, in order, over ``case_facts``."""
-    t0 = F.col("t0")
-    mean_gap = F.col("pausa_media")
-    stamp = F.localtimestamp() if calc_ts is None else ntz(calc_ts)
-    by_name = {
-        "nro_caso": F.col("nro_caso"),
-        "primera_interaccion_cliente": t0,
-        "primera_interaccion_bot": F.col("t_bot"),
-        "primera_interaccion_humano": F.col("t_humano"),
-        "ultima_interaccion": F.col("ultima_fecha"),
-        "ftr_bot_min": N.minutes_between(t0, F.col("t_bot")),
-        "tfr_human_min": N.minutes_between(t0, F.col("t_humano")),
-        "tiempo_promedio_de_interaccion_min": N.minutes_between(
-            F.col("primera_fecha"), F.col("ultima_fecha")
-        ),
-        "canal_primera_interaccion": F.col("primer_canal"),
-        "campania": F.col("primera_campania"),
-        "total_mensajes": F.col("total"),
-        "mensajes_cliente": F.col("cliente"),
-        "mensajes_bot": F.col("bot"),
-        "mensajes_humano": F.col("humano"),
-        "mensajes_multimedia": F.col("multimedia"),
-        "atendido_por_humano": F.lit(True),
-        "cumple_min_mensajes": F.col("total") > 2,
-        "es_venta": F.lit(True),
-        "fecha_calculo": stamp,
-        "tiempo_promedio_entre_mensajes_min": mean_gap,
-        "icc_score": N.engagement_score(mean_gap),
-        "agente": agent_name(F.col("usuario_humano")),
-        "tuvo_bot": F.col("t_bot").isNotNull(),
+    """The 23 metrics by name, in order, over ``judged_cases``."""
+    if calc_ts is None:
+        calc_ts = F.localtimestamp()
+    elif not isinstance(calc_ts, Column):
+        calc_ts = F.expr(ntz(calc_ts))
+    sql = {
+        "nro_caso": "nro_caso",
+        "primera_interaccion_cliente": "t0",
+        "primera_interaccion_bot": "t_bot",
+        "primera_interaccion_humano": "t_humano",
+        "ultima_interaccion": "ultima_fecha",
+        "ftr_bot_min": N.round3("minutos_bot"),
+        "tfr_human_min": N.round3("minutos_humano"),
+        "tiempo_promedio_de_interaccion_min": N.round3("minutos_total"),
+        "canal_primera_interaccion": "primer_canal",
+        "campania": "primera_campania",
+        "total_mensajes": "total",
+        "mensajes_cliente": "cliente",
+        "mensajes_bot": "bot",
+        "mensajes_humano": "humano",
+        "mensajes_multimedia": "multimedia",
+        "atendido_por_humano": "true",
+        "cumple_min_mensajes": "total > 2",
+        "es_venta": "true",
+        "fecha_calculo": None,
+        "tiempo_promedio_entre_mensajes_min": "pausa_media",
+        "icc_score": N.engagement_score("pausa_media"),
+        "agente": agent_name("usuario_humano"),
+        "tuvo_bot": "t_bot IS NOT NULL",
     }
-    return {field.name: by_name[field.name].cast(field.dataType) for field in METRICS}
+    return {n: calc_ts if n == "fecha_calculo" else F.expr(sql[n]) for n in METRICS.names}
 
 
 def judged_cases(
     messages: DataFrame, rules: Rules = DEFAULT_RULES, keys: Sequence[str] = CASE
 ) -> DataFrame:
-    """``case_facts`` plus discard reason, categories and mean gap."""
-    facts = case_facts(messages, rules, keys)
+    """``case_facts`` plus discard reason, categories, durations and mean gap."""
     return (
-        facts.withColumn("motivo_descarte", discard_reason(rules))
-        .withColumns(
-            {
-                "categorias": categories(rules),
-                "descartado": F.col("motivo_descarte").isNotNull(),
-                "pausa_media": N.mean_gap_minutes(
-                    F.col("primera_fecha"), F.col("ultima_fecha"), F.col("total")
-                ),
-            }
+        case_facts(messages, rules, keys)
+        .selectExpr(
+            "*",
+            f"{DISCARD_REASON} AS motivo_descarte",
+            f"{N.minutes_unrounded('t0', 't_bot')} AS minutos_bot",
+            f"{N.minutes_unrounded('t0', 't_humano')} AS minutos_humano",
+            f"{N.minutes_unrounded('primera_fecha', 'ultima_fecha')} AS minutos_total",
+            f"{N.mean_gap_unrounded('primera_fecha', 'ultima_fecha', 'total')} AS minutos_pausa",
+        )
+        .selectExpr(
+            "*",
+            f"{categories(rules)} AS categorias",
+            "motivo_descarte IS NOT NULL AS descartado",
+            f"{N.round3('minutos_pausa')} AS pausa_media",
         )
     )
 
 
-def _outcome(keys: Sequence[str]) -> list[Column]:
-    return [F.col(k) for k in keys] + [
-        F.col("categorias"),
-        F.col("motivo_descarte"),
-        F.col("descartado"),
-        F.col("duplicados").alias("duplicados_eliminados"),
-        F.col("fecha_caso"),
-        F.col("campania_caso"),
-        F.col("canal_caso"),
+def _outcome(keys: Sequence[str]) -> list[str]:
+    return [
+        *keys,
+        "categorias",
+        "motivo_descarte",
+        "descartado",
+        "duplicados AS duplicados_eliminados",
+        "fecha_caso",
+        "campania_caso",
+        "canal_caso",
     ]
 
 
@@ -126,7 +119,7 @@ def classify_cases(
     messages: DataFrame, rules: Rules = DEFAULT_RULES, keys: Sequence[str] = CASE
 ) -> DataFrame:
     """One row per case with its categories and whether it was left out."""
-    return judged_cases(messages, rules, keys).select(*_outcome(keys))
+    return judged_cases(messages, rules, keys).selectExpr(*_outcome(keys))
 
 
 def case_metrics(
@@ -137,10 +130,10 @@ def case_metrics(
 ) -> DataFrame:
     """The 23-column metrics table of the cases that were kept."""
     metrics = metric_columns(calc_ts)
-    extra = [F.col(k) for k in keys if k not in metrics]
+    extra = [k for k in keys if k not in metrics]
     return (
         judged_cases(messages, rules, keys)
-        .where(~F.col("descartado"))
+        .where("NOT descartado")
         .select(*extra, *[c.alias(n) for n, c in metrics.items()])
     )
 
@@ -156,20 +149,20 @@ def case_results(
     narrow reads."""
     metrics = metric_columns(calc_ts)
     body = F.struct(*[c.alias(n) for n, c in metrics.items() if n != "nro_caso"])
+    outcome = [F.expr(sql) for sql in _outcome(keys)]
     return judged_cases(messages, rules, keys).select(
-        *_outcome(keys), F.when(~F.col("descartado"), body).alias("metricas")
+        *outcome, F.when(F.expr("NOT descartado"), body).alias("metricas")
     )
 
 
 def metrics_from_results(results: DataFrame) -> DataFrame:
-    return results.where(~F.col("descartado")).select("nro_caso", "metricas.*")
+    return results.where("NOT descartado").select("nro_caso", "metricas.*")
 
 
 def case_outcomes(messages: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """Number of cases by final outcome."""
-    outcome = F.coalesce(F.col("motivo_descarte"), F.lit("metricas"))
     return (
         classify_cases(messages, rules)
-        .groupBy(outcome.alias("resultado"))
+        .groupBy(F.expr("coalesce(motivo_descarte, 'metricas') AS resultado"))
         .agg(F.count("*").alias("casos"))
     )

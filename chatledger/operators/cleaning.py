@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatledger import rules as R
 from chatledger.functions import calendar as C
 from chatledger.functions.text import strip
-from chatledger.schemas import MESSAGES, SOURCE_COLUMNS
+from chatledger.schemas import SOURCE_COLUMNS
 
 
 def source_projection(rows: DataFrame) -> DataFrame:
@@ -19,64 +19,52 @@ def source_projection(rows: DataFrame) -> DataFrame:
     return rows.select(*SOURCE_COLUMNS)
 
 
-def parsed_case(rows: DataFrame) -> Column:
-    return F.col("nro_caso").try_cast("bigint")
+PARSED_CASE = "try_cast(nro_caso AS BIGINT)"
+CLEAN_DIRECTION = f"upper({strip('direccionamiento')})"
 
 
-def parsed_time(rows: DataFrame) -> Column:
+def parsed_time(rows: DataFrame) -> str:
     """The message time without zone; an unreadable text is null."""
-    col = F.col("fecha_creacion")
     if not isinstance(rows.schema["fecha_creacion"].dataType, T.StringType):
-        return col.cast("timestamp_ntz")
-    text = strip(col)
+        return "CAST(fecha_creacion AS TIMESTAMP_NTZ)"
+    text = strip("fecha_creacion")
     # the cast alone would also take '2024' or '2024-1-1'
-    full_date = (
-        (F.length(text) >= 10)
-        & (F.substring(text, 5, 1) == "-")
-        & (F.substring(text, 8, 1) == "-")
+    return (
+        f"CASE WHEN length({text}) >= 10 AND substring({text}, 5, 1) = '-'"
+        f" AND substring({text}, 8, 1) = '-' THEN {C.lenient_timestamp(text)} END"
     )
-    return F.when(full_date, text.try_cast("timestamp_ntz"))
-
 
-def clean_direction(col: Column) -> Column:
-    return F.upper(strip(F.coalesce(col, F.lit(""))))
 
-
-def clean_label(col: Column) -> Column:
+def clean_label(name: str) -> str:
     """P5: blanks at the ends go; '' is null, but an all-blank value becomes ''."""
-    return F.when(col != "", strip(col))
+    return f"CASE WHEN {name} <> '' THEN {strip(name)} END"
 
 
-def reject_reason(rows: DataFrame) -> Column:
+def reject_reason(rows: DataFrame) -> str:
     """Why a row is unusable, null for a usable one."""
     return (
-        F.when(F.col("nro_caso").isNull(), "sin_caso")
-        .when(F.col("fecha_creacion").isNull(), "sin_fecha")
-        .when(
-            ~clean_direction(F.col("direccionamiento")).isin("INBOUND", "OUTBOUND"),
-            "direccion_desconocida",
-        )
-        .when(parsed_case(rows).isNull(), "caso_ilegible")
-        .when(parsed_time(rows).isNull(), "fecha_ilegible")
+        "CASE WHEN nro_caso IS NULL THEN 'sin_caso' WHEN fecha_creacion IS NULL THEN 'sin_fecha'"
+        f" WHEN coalesce({CLEAN_DIRECTION} NOT IN ('INBOUND', 'OUTBOUND'), true)"
+        " THEN 'direccion_desconocida'"
+        f" WHEN {PARSED_CASE} IS NULL THEN 'caso_ilegible'"
+        f" WHEN {parsed_time(rows)} IS NULL THEN 'fecha_ilegible' END"
     )
 
 
 def valid_rows(rows: DataFrame) -> DataFrame:
     """Usable rows, untouched."""
     return rows.where(
-        F.col("nro_caso").isNotNull()
-        & F.col("fecha_creacion").isNotNull()
-        & clean_direction(F.col("direccionamiento")).isin("INBOUND", "OUTBOUND")
-        & parsed_case(rows).isNotNull()
-        & parsed_time(rows).isNotNull()
+        f"nro_caso IS NOT NULL AND fecha_creacion IS NOT NULL"
+        f" AND {CLEAN_DIRECTION} IN ('INBOUND', 'OUTBOUND')"
+        f" AND {PARSED_CASE} IS NOT NULL AND {parsed_time(rows)} IS NOT NULL"
     )
 
 
 def rejected_counts(rows: DataFrame) -> DataFrame:
     """Number of rejected rows by reason."""
     return (
-        rows.select(reject_reason(rows).alias("motivo"))
-        .where(F.col("motivo").isNotNull())
+        rows.selectExpr(f"{reject_reason(rows)} AS motivo")
+        .where("motivo IS NOT NULL")
         .groupBy("motivo")
         .agg(F.count("*").alias("filas"))
     )
@@ -84,26 +72,25 @@ def rejected_counts(rows: DataFrame) -> DataFrame:
 
 def clean_messages(rows: DataFrame) -> DataFrame:
     """P2 + P3 + P5: usable rows as typed messages."""
-    columns = {
-        "id": F.col("id").cast("bigint"),
-        "nro_caso": parsed_case(rows),
-        "fecha_creacion": C.truncate_millis(parsed_time(rows)),
-        "direccionamiento": clean_direction(F.col("direccionamiento")),
-        "usuario": clean_label(F.col("usuario")),
-        "canal": clean_label(F.col("canal")),
-        "campania": clean_label(F.col("campania")),
-        "contenido": F.substring(F.col("contenido").cast("string"), 1, R.TEXT_LENGTH),
-    }
-    return valid_rows(rows).select(*[columns[name].alias(name) for name in MESSAGES.names])
+    return valid_rows(rows).selectExpr(
+        "CAST(id AS BIGINT) AS id",
+        f"{PARSED_CASE} AS nro_caso",
+        f"{C.truncate_millis(parsed_time(rows))} AS fecha_creacion",
+        f"{CLEAN_DIRECTION} AS direccionamiento",
+        f"{clean_label('usuario')} AS usuario",
+        f"{clean_label('canal')} AS canal",
+        f"{clean_label('campania')} AS campania",
+        f"substring(CAST(contenido AS STRING), 1, {R.TEXT_LENGTH}) AS contenido",
+    )
 
 
 def messages_between(messages: DataFrame, since: dt.date, until: dt.date) -> DataFrame:
     """Messages of both days and all days between."""
-    return messages.where(C.in_date_range(F.col("fecha_creacion"), since, until))
+    return messages.where(C.in_date_range("fecha_creacion", since, until))
 
 
 def count_between(rows: DataFrame, since: dt.date, until: dt.date) -> DataFrame:
     """Number of source rows in the range, before any cleaning."""
-    return rows.where(C.in_date_range(parsed_time(rows), since, until)).agg(
+    return rows.where(C.in_date_range(f"({parsed_time(rows)})", since, until)).agg(
         F.count("*").alias("total")
     )

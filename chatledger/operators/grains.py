@@ -25,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatledger.functions import text as X
@@ -35,19 +34,23 @@ from chatledger.rules import DEFAULT_RULES, Rules
 
 CASE = ("nro_caso",)
 COPY_KEY = ("fecha_creacion", "direccionamiento", "usuario", "contenido")
+HOUR_MICROS = 3_600_000_000
 
 
-def _digest(col: Column) -> Column:
+def _digest(text: str) -> str:
     """32 bytes that stand for a text of any length; null stays null."""
-    return F.unhex(F.sha2(col, 256))
+    return f"unhex(sha2({text}, 256))"
+
+
+def _aggregates(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{sql} AS {name}") for name, sql in expressions.items()]
 
 
 def collapse_copies(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per distinct ``key`` (nulls are equal) with the number of
     copies and the id, channel and campaign of the first copy."""
     return rows.groupBy(*key).agg(
-        F.count("*").alias("copias"),
-        F.min(F.struct("id", "canal", "campania")).alias("primero"),
+        *_aggregates({"copias": "count(*)", "primero": "min(struct(id, canal, campania))"})
     )
 
 
@@ -60,36 +63,29 @@ def drop_exact_copies(messages: DataFrame) -> DataFrame:
     )
 
 
-def chat_messages(messages: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """Distinct messages without call markers."""
-    marker = X.is_call_marker(X.normalize(F.col("contenido")), rules)
-    return drop_exact_copies(messages).where(~marker)
-
-
 def marked_messages(
     messages: DataFrame, rules: Rules = DEFAULT_RULES, keys: Sequence[str] = CASE
 ) -> DataFrame:
     """Every text predicate as a flag, and the text replaced by its digest."""
-    texts = messages.select(
+    texts = messages.selectExpr(
         *keys, "id", "fecha_creacion", "direccionamiento", "usuario", "canal",
-        "campania", "contenido", X.normalize(F.col("contenido")).alias("texto"),
+        "campania", "contenido", f"{X.normalize('contenido')} AS texto",
     )
-    text = F.col("texto")
-    return texts.select(
+    return texts.selectExpr(
         *keys,
-        hour_number(F.col("fecha_creacion")).alias("hora"),
+        f"{hour_number('fecha_creacion')} AS hora",
         "fecha_creacion",
         "direccionamiento",
         "usuario",
-        _digest(F.col("contenido")).alias("contenido"),
-        X.speaker(F.col("direccionamiento"), F.col("usuario"), rules).alias("rol"),
-        X.is_call_marker(text, rules).alias("marcador"),
-        X.is_trivial(text, rules).alias("trivial"),
-        X.is_multimedia(text, rules).alias("multimedia"),
-        X.contains_any(text, rules.sales_terms).alias("venta"),
-        X.contains_any(text, rules.colleague_terms).alias("colaborador"),
-        F.when(X.is_inbound(F.col("direccionamiento")) & (text != ""), _digest(text))
-        .alias("texto_cliente"),
+        f"{_digest('contenido')} AS contenido",
+        f"{X.speaker('direccionamiento', 'usuario', rules)} AS rol",
+        f"{X.is_call_marker('texto', rules)} AS marcador",
+        f"{X.is_trivial('texto', rules)} AS trivial",
+        f"{X.is_multimedia('texto', rules)} AS multimedia",
+        f"{X.contains_any('texto', rules.sales_terms)} AS venta",
+        f"{X.contains_any('texto', rules.colleague_terms)} AS colaborador",
+        f"CASE WHEN direccionamiento = 'INBOUND' AND texto <> '' THEN {_digest('texto')} END"
+        " AS texto_cliente",
         "id", "canal", "campania",
     )
 
@@ -106,120 +102,109 @@ def unique_messages(
 def instants(
     messages: DataFrame, rules: Rules = DEFAULT_RULES, keys: Sequence[str] = CASE
 ) -> DataFrame:
-    """One row per case and millisecond."""
-    chat = ~F.col("marcador")
-
-    def said_by(who: str) -> Column:
-        return chat & (F.col("rol") == who)
-
-    return (
-        unique_messages(messages, rules, keys)
-        .groupBy(*keys, "hora", "fecha_creacion")
-        .agg(
-            F.sum(F.col("copias") - 1).alias("duplicados"),
-            F.bool_or((F.col("copias") > 1) & ~F.col("trivial")).alias("dup_sustantivo"),
-            F.bool_or("marcador").alias("hubo_llamada"),
-            F.count_if(chat).alias("total"),
-            F.count_if(said_by("cliente")).alias("cliente"),
-            F.count_if(said_by("bot")).alias("bot"),
-            F.count_if(said_by("humano")).alias("humano"),
-            F.count_if(chat & F.col("multimedia")).alias("multimedia"),
-            F.bool_or(chat & F.col("venta")).alias("venta"),
-            F.bool_or(chat & F.col("colaborador")).alias("colaborador"),
-            F.count(F.when(chat, F.col("texto_cliente"))).alias("textos"),
-            F.min(F.when(chat, F.col("texto_cliente"))).alias("texto_min"),
-            F.max(F.when(chat, F.col("texto_cliente"))).alias("texto_max"),
-            F.min("primero").alias("primero"),
-            F.min(F.when(chat, F.col("primero"))).alias("primero_chat"),
-            F.min(
-                F.when(said_by("humano"), F.struct(F.col("primero.id").alias("id"), "usuario"))
-            ).alias("primer_humano"),
-        )
-    )
-
-
-def _totals() -> list[Column]:
-    """Aggregates that simply add up from one grain to the next."""
-    sums = ("duplicados", "total", "cliente", "bot", "humano", "multimedia", "textos")
-    flags = ("dup_sustantivo", "hubo_llamada", "venta", "colaborador")
-    return (
-        [F.sum(name).alias(name) for name in sums]
-        + [F.bool_or(name).alias(name) for name in flags]
-        + [F.min("texto_min").alias("texto_min"), F.max("texto_max").alias("texto_max")]
-    )
+    """One row per case and millisecond. Call markers are not chat (P8): they count
+    only as copies and as the sign of a call."""
+    chat = "NOT marcador"
+    expressions = {
+        "duplicados": "sum(copias - 1)",
+        "dup_sustantivo": "bool_or(copias > 1 AND NOT trivial)",
+        "hubo_llamada": "bool_or(marcador)",
+        "total": f"count_if({chat})",
+        "cliente": f"count_if({chat} AND rol = 'cliente')",
+        "bot": f"count_if({chat} AND rol = 'bot')",
+        "humano": f"count_if({chat} AND rol = 'humano')",
+        "multimedia": f"count_if({chat} AND multimedia)",
+        "venta": f"bool_or({chat} AND venta)",
+        "colaborador": f"bool_or({chat} AND colaborador)",
+        "textos": f"count(CASE WHEN {chat} THEN texto_cliente END)",
+        "texto_min": f"min(CASE WHEN {chat} THEN texto_cliente END)",
+        "texto_max": f"max(CASE WHEN {chat} THEN texto_cliente END)",
+        "primero": "min(primero)",
+        "primero_chat": f"min(CASE WHEN {chat} THEN primero END)",
+        "primer_humano": f"min(CASE WHEN {chat} AND rol = 'humano'"
+        " THEN struct(primero.id AS id, usuario) END)",
+    }
+    unique = unique_messages(messages, rules, keys)
+    return unique.groupBy(*keys, "hora", "fecha_creacion").agg(*_aggregates(expressions))
+
+
+# Aggregates that simply add up from one grain to the next.
+_TOTALS = {
+    name: f"sum({name})"
+    for name in ("duplicados", "total", "cliente", "bot", "humano", "multimedia", "textos")
+} | {
+    name: f"bool_or({name})" for name in ("dup_sustantivo", "hubo_llamada", "venta", "colaborador")
+} | {"texto_min": "min(texto_min)", "texto_max": "max(texto_max)"}
 
 
 def hours(instant_rows: DataFrame, keys: Sequence[str] = CASE) -> DataFrame:
     """One row per case and hour, with the replies after the hour's first inbound."""
-    time = F.col("fecha_creacion")
-    hour = W.partitionBy(*keys, "hora")
-    split = instant_rows.withColumn(
-        "cliente_hora", F.min(F.when(F.col("cliente") > 0, time)).over(hour)
-    )
-    answered = time >= F.col("cliente_hora")
-    human = F.struct(
-        time.alias("fecha"),
-        F.col("primer_humano.id").alias("id"),
-        F.col("primer_humano.usuario").alias("usuario"),
-    )
-    return split.groupBy(*keys, "hora").agg(
-        *_totals(),
-        F.min(F.struct(time.alias("fecha"), "primero")).alias("primera"),
-        F.min(
-            F.when(F.col("total") > 0, F.struct(time.alias("fecha"), "primero_chat"))
-        ).alias("primera_chat"),
-        F.max(F.when(F.col("total") > 0, time)).alias("ultima"),
-        F.min("cliente_hora").alias("primer_cliente"),
-        F.min(F.when(F.col("humano") > 0, human)).alias("humano_hora"),
-        F.min(F.when((F.col("humano") > 0) & answered, human)).alias("humano_tras_cliente"),
-        F.min(F.when(F.col("bot") > 0, time)).alias("bot_hora"),
-        F.min(F.when((F.col("bot") > 0) & answered, time)).alias("bot_tras_cliente"),
-    )
+    by = ", ".join([*keys, "hora"])
+    split = instant_rows.selectExpr(
+        "*",
+        f"min(CASE WHEN cliente > 0 THEN fecha_creacion END) OVER (PARTITION BY {by})"
+        " AS cliente_hora",
+    )
+    answered = "fecha_creacion >= cliente_hora"
+    human = "struct(fecha_creacion AS fecha, primer_humano.id AS id, primer_humano.usuario AS usuario)"
+    expressions = _TOTALS | {
+        "primera": "min(struct(fecha_creacion AS fecha, primero))",
+        "primera_chat": "min(CASE WHEN total > 0"
+        " THEN struct(fecha_creacion AS fecha, primero_chat) END)",
+        "ultima": "max(CASE WHEN total > 0 THEN fecha_creacion END)",
+        "primer_cliente": "min(cliente_hora)",
+        "humano_hora": f"min(CASE WHEN humano > 0 THEN {human} END)",
+        "humano_tras_cliente": f"min(CASE WHEN humano > 0 AND {answered} THEN {human} END)",
+        "bot_hora": "min(CASE WHEN bot > 0 THEN fecha_creacion END)",
+        "bot_tras_cliente": f"min(CASE WHEN bot > 0 AND {answered} THEN fecha_creacion END)",
+    }
+    return split.groupBy(*keys, "hora").agg(*_aggregates(expressions))
 
 
 def cases(
     hour_rows: DataFrame, rules: Rules = DEFAULT_RULES, keys: Sequence[str] = CASE
 ) -> DataFrame:
     """One row per case: counts, first and last times, t0 and the replies to it."""
-    case = W.partitionBy(*keys)
-    earlier = case.orderBy("hora").rowsBetween(W.unboundedPreceding, -1)
+    by = ", ".join(keys)
     # the ordered window first: its sort then serves the other one too
-    placed = hour_rows.withColumn("anterior", F.max("ultima").over(earlier)).withColumn(
-        "t0", F.min("primer_cliente").over(case)
-    )
-    t0_hour = F.col("primer_cliente") == F.col("t0")
-    later_hour = F.col("hora") > hour_number(F.col("t0"))
-
-    def reply(same_hour: str, any_time: str) -> Column:
-        return F.min(F.when(t0_hour, F.col(same_hour)).when(later_hour, F.col(any_time)))
-
-    gap = micros_between(F.col("anterior"), F.col("primera_chat.fecha"))
-    too_long = gap > rules.max_gap_hours * 3_600_000_000
-    rows = placed.groupBy(*keys).agg(
-        *_totals(),
-        F.min("primera").alias("primera"),
-        F.min("primera_chat").alias("primera_chat"),
-        F.max("ultima").alias("ultima"),
-        F.min("t0").alias("t0"),
-        reply("humano_tras_cliente", "humano_hora").alias("respuesta_humana"),
-        reply("bot_tras_cliente", "bot_hora").alias("respuesta_bot"),
-        F.coalesce(F.bool_or(too_long), F.lit(False)).alias("hueco_largo"),
-    )
-    return rows.select(
+    placed = hour_rows.selectExpr(
+        "*",
+        f"max(ultima) OVER (PARTITION BY {by} ORDER BY hora"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS anterior",
+    ).selectExpr("*", f"min(primer_cliente) OVER (PARTITION BY {by}) AS t0")
+
+    def reply(same_hour: str, any_time: str) -> str:
+        return (
+            f"min(CASE WHEN primer_cliente = t0 THEN {same_hour}"
+            f" WHEN hora > {hour_number('t0')} THEN {any_time} END)"
+        )
+
+    gap = micros_between("anterior", "primera_chat.fecha")
+    expressions = _TOTALS | {
+        "primera": "min(primera)",
+        "primera_chat": "min(primera_chat)",
+        "ultima": "max(ultima)",
+        "t0": "min(t0)",
+        "respuesta_humana": reply("humano_tras_cliente", "humano_hora"),
+        "t_bot": reply("bot_tras_cliente", "bot_hora"),
+        "hueco_largo": f"coalesce(bool_or({gap} > {rules.max_gap_hours * HOUR_MICROS}), false)",
+    }
+    rows = placed.groupBy(*keys).agg(*_aggregates(expressions))
+    return rows.selectExpr(
         *keys, "duplicados", "dup_sustantivo", "hubo_llamada", "total", "cliente", "bot",
         "humano", "multimedia", "venta", "colaborador", "textos",
-        (F.col("texto_min") == F.col("texto_max")).alias("texto_unico"),
-        F.col("primera.fecha").alias("fecha_caso"),
-        F.col("primera.primero.canal").alias("canal_caso"),
-        F.col("primera.primero.campania").alias("campania_caso"),
-        F.col("primera_chat.fecha").alias("primera_fecha"),
-        F.col("primera_chat.primero_chat.canal").alias("primer_canal"),
-        F.col("primera_chat.primero_chat.campania").alias("primera_campania"),
-        F.col("ultima").alias("ultima_fecha"),
+        "texto_min = texto_max AS texto_unico",
+        "primera.fecha AS fecha_caso",
+        "primera.primero.canal AS canal_caso",
+        "primera.primero.campania AS campania_caso",
+        "primera_chat.fecha AS primera_fecha",
+        "primera_chat.primero_chat.canal AS primer_canal",
+        "primera_chat.primero_chat.campania AS primera_campania",
+        "ultima AS ultima_fecha",
         "t0",
-        F.col("respuesta_humana.fecha").alias("t_humano"),
-        F.col("respuesta_humana.usuario").alias("usuario_humano"),
-        F.col("respuesta_bot").alias("t_bot"),
+        "respuesta_humana.fecha AS t_humano",
+        "respuesta_humana.usuario AS usuario_humano",
+        "t_bot",
         "hueco_largo",
     )
 
@@ -236,28 +221,32 @@ def longest_gaps(messages: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame
     """The longest pause of each case in microseconds and whether it is too long.
 
     Gaps inside an hour come from a window over the instants of that hour, gaps
-    between hours from a window over the hours of the case.
+    between hours from a window over the hours of the case. Several messages of one
+    instant have a gap of zero between them.
     """
-    times = instants(messages, rules).where(F.col("total") > 0)
-    in_hour = W.partitionBy(*CASE, "hora").orderBy("fecha_creacion")
-    gaps = times.withColumn(
-        "hueco", micros_between(F.lag("fecha_creacion").over(in_hour), F.col("fecha_creacion"))
-    )
-    per_hour = gaps.groupBy(*CASE, "hora").agg(
-        F.max("hueco").alias("hueco"),
-        F.min("fecha_creacion").alias("primera"),
-        F.max("fecha_creacion").alias("ultima"),
-        F.sum("total").alias("total"),
+    times = instants(messages, rules).where("total > 0")
+    before = "lag(fecha_creacion) OVER (PARTITION BY nro_caso, hora ORDER BY fecha_creacion)"
+    inside = times.selectExpr("*", f"{micros_between(before, 'fecha_creacion')} AS hueco")
+    per_hour = inside.groupBy(*CASE, "hora").agg(
+        *_aggregates(
+            {
+                "hueco": "max(hueco)",
+                "primera": "min(fecha_creacion)",
+                "ultima": "max(fecha_creacion)",
+                "total": "sum(total)",
+            }
+        )
     )
-    before = F.lag("ultima").over(W.partitionBy(*CASE).orderBy("hora"))
-    across = per_hour.withColumn(
-        "hueco",
-        F.greatest("hueco", micros_between(before, F.col("primera"))),
+    earlier = "lag(ultima) OVER (PARTITION BY nro_caso ORDER BY hora)"
+    across = per_hour.selectExpr(
+        "nro_caso", "total", f"greatest(hueco, {micros_between(earlier, 'primera')}) AS hueco"
     )
-    # several messages of one instant have a gap of zero between them
-    longest = F.coalesce(F.max("hueco"), F.when(F.sum("total") > 1, F.lit(0)))
-    result = across.groupBy(*CASE).agg(longest.cast("bigint").alias("hueco_max_us"))
-    return result.withColumn(
-        "incoherente",
-        F.coalesce(F.col("hueco_max_us") > rules.max_gap_hours * 3_600_000_000, F.lit(False)),
+    longest = "coalesce(max(hueco), CASE WHEN sum(total) > 1 THEN 0 END)"
+    return (
+        across.groupBy(*CASE)
+        .agg(F.expr(f"CAST({longest} AS BIGINT) AS hueco_max_us"))
+        .selectExpr(
+            "*",
+            f"coalesce(hueco_max_us > {rules.max_gap_hours * HOUR_MICROS}, false) AS incoherente",
+        )
     )

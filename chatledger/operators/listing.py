@@ -12,8 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 RANGES = 4096
@@ -22,60 +21,58 @@ RANGES = 4096
 def capped_listing(
     rows: DataFrame,
     limit: int,
-    blocks: Mapping[str, Column],
+    blocks: Mapping[str, str],
     within: Sequence[str] = (),
     key: str = "nro_caso",
     tie: str = "fecha",
 ) -> DataFrame:
     """The first ``limit`` rows (per ``within``, if given) in the order of ``blocks``
-    (column name -> ordering), then ``key``. Adds ``truncado``.
+    (column name -> ASC or DESC), then ``key``. Adds ``truncado``.
 
     The broadcast tables hold one row per block and at most ``RANGES`` rows per
     crossing block: calendar periods times sections, never rows of the list."""
     names = [*within, *blocks]
-    in_order = W.partitionBy(*within).orderBy(*blocks.values())
-    before = in_order.rowsBetween(W.unboundedPreceding, -1)
+    partition = f"PARTITION BY {', '.join(within)}" if within else ""
+    order = ", ".join(f"{name} {way}" for name, way in blocks.items())
+
+    def before(last: str) -> str:
+        return (
+            f"coalesce(sum(n) OVER ({partition} ORDER BY {last}"
+            " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+        )
+
+    def renamed(columns: Sequence[str]) -> list[str]:
+        return [f"{c} AS b_{c}" for c in columns]
+
+    def same(columns: Sequence[str]):
+        return F.expr(" AND ".join(f"{c} <=> b_{c}" for c in columns))
 
-    sizes = rows.groupBy(*names).agg(
-        F.count("*").alias("n"), F.min(key).alias("desde"), F.max(key).alias("hasta")
-    )
     kept_blocks = (
-        sizes.withColumn("antes", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .withColumn("truncado", F.sum("n").over(W.partitionBy(*within)) > limit)
-        .where(F.col("antes") < limit)
-        .withColumn("cruza", F.col("antes") + F.col("n") > limit)
-        .select(*[F.col(n).alias(f"b_{n}") for n in names], "desde", "hasta", "truncado", "cruza")
+        rows.groupBy(*names)
+        .agg(F.count("*").alias("n"), F.min(key).alias("desde"), F.max(key).alias("hasta"))
+        .selectExpr(
+            "*", f"{before(order)} AS antes", f"sum(n) OVER ({partition}) > {limit} AS truncado"
+        )
+        .where(f"antes < {limit}")
+        .selectExpr(*renamed(names), "desde", "hasta", "truncado", f"antes + n > {limit} AS cruza")
     )
-    share = (F.col(key) - F.col("desde")) / (F.col("hasta") - F.col("desde") + F.lit(1))
-    inside = rows.join(
-        F.broadcast(kept_blocks), [F.col(n).eqNullSafe(F.col(f"b_{n}")) for n in names]
-    ).select(
-        *rows.columns,
-        "truncado",
-        F.when(F.col("cruza"), F.coalesce(F.floor(share * RANGES), F.lit(-1)))
-        .otherwise(F.lit(-1))
-        .alias("tramo"),
+    # the crossing block is cut into ranges of the key, all others stay whole
+    range_no = f"floor(({key} - desde) / (hasta - desde + 1D) * {RANGES})"
+    inside = rows.join(F.broadcast(kept_blocks), same(names)).selectExpr(
+        *rows.columns, "truncado", f"CASE WHEN cruza THEN coalesce({range_no}, -1) ELSE -1 END AS tramo"
     )
-    by_range = W.partitionBy(*within).orderBy(*blocks.values(), "tramo")
     kept_ranges = (
         inside.groupBy(*names, "tramo")
         .agg(F.count("*").alias("n"))
-        .withColumn(
-            "antes",
-            F.coalesce(F.sum("n").over(by_range.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)),
-        )
-        .where(F.col("antes") < limit)
-        .select(*[F.col(n).alias(f"b_{n}") for n in [*names, "tramo"]])
-    )
-    pruned = inside.join(
-        F.broadcast(kept_ranges),
-        [F.col(n).eqNullSafe(F.col(f"b_{n}")) for n in [*names, "tramo"]],
-        "left_semi",
+        .selectExpr("*", f"{before(f'{order}, tramo')} AS antes")
+        .where(f"antes < {limit}")
+        .selectExpr(*renamed([*names, "tramo"]))
     )
-    order = [*blocks.values(), F.col(key).asc_nulls_first(), F.col(tie)]
-    if within:
-        place = F.row_number().over(W.partitionBy(*within).orderBy(*order))
-        pruned = pruned.withColumn("lugar", place).where(F.col("lugar") <= limit).drop("lugar")
-    else:
-        pruned = pruned.orderBy(*order).limit(limit)
-    return pruned.drop("tramo")
+    pruned = inside.join(F.broadcast(kept_ranges), same([*names, "tramo"]), "left_semi").drop("tramo")
+    full_order = f"{order}, {key} ASC NULLS FIRST, {tie}"
+    if not within:
+        way = {"ASC": F.asc, "DESC": F.desc}
+        keys = [way[w](name) for name, w in blocks.items()]
+        return pruned.orderBy(*keys, F.asc_nulls_first(key), tie).limit(limit)
+    place = f"row_number() OVER ({partition} ORDER BY {full_order}) AS lugar"
+    return pruned.selectExpr("*", place).where(f"lugar <= {limit}").drop("lugar")

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatledger import rules as R
 from chatledger.functions import calendar as C
 from chatledger.functions import numbers as N
-from chatledger.functions.text import label_missing
-from chatledger.schemas import CASES, REPORT
+from chatledger.functions.text import label_missing, quoted
+from chatledger.schemas import CASES
 
 
 def build_report(metrics: DataFrame) -> DataFrame:
     """C4: the metrics and ten columns for dashboards."""
-    first = F.col("primera_interaccion_cliente")
-    reply, pace = F.col("tfr_human_min"), F.col("tiempo_promedio_entre_mensajes_min")
+    first = "primera_interaccion_cliente"
+    reply, pace = "tfr_human_min", "tiempo_promedio_entre_mensajes_min"
     added = {
         "primera_interaccion - format": C.day_month_year(first),
         "Rango Horario (2h)": C.two_hour_block(first),
@@ -25,23 +24,23 @@ def build_report(metrics: DataFrame) -> DataFrame:
         "HoraMinuto": C.minute_of_day(first),
         "tfr_human_rango": N.response_band(reply),
         "Orden_rango": N.response_band_order(reply),
-        "canal": F.col("canal_primera_interaccion"),
+        "canal": "canal_primera_interaccion",
         "clasificacion_tiempo_entre": N.pace_band(pace),
         "Orden_clasif_tiempo": N.pace_band_order(pace),
     }
     if "agente" in metrics.columns:
-        added["agente"] = label_missing(F.col("agente"), R.NO_AGENT)
-    return metrics.withColumns(added)
+        added["agente"] = label_missing("agente", R.NO_AGENT)
+    return metrics.withColumns({name: F.expr(sql) for name, sql in added.items()})
 
 
 def attended_cases(metrics: DataFrame) -> DataFrame:
-    return metrics.select(
+    return metrics.selectExpr(
         "nro_caso",
-        F.col("primera_interaccion_cliente").alias("fecha"),
+        "primera_interaccion_cliente AS fecha",
         "campania",
-        F.col("canal_primera_interaccion").alias("canal"),
-        F.lit(True).alias("atendido"),
-        F.lit(None).cast("string").alias("categoria_no_atendida"),
+        "canal_primera_interaccion AS canal",
+        "true AS atendido",
+        "CAST(NULL AS STRING) AS categoria_no_atendida",
     )
 
 
@@ -50,22 +49,23 @@ def not_attended_cases(audit: DataFrame) -> DataFrame:
 
     ``row_number() = 1`` lets Spark keep only the best row per case in every map
     task before it shuffles, so a case listed very often stays cheap."""
-    priority = F.array_position(
-        F.array(*[F.lit(s) for s in R.NOT_ATTENDED_SECTIONS]), F.col("seccion")
-    )
-    best = W.partitionBy("nro_caso").orderBy("prioridad", "fecha", "campania", "canal")
+    listed = ", ".join(quoted(s) for s in R.NOT_ATTENDED_SECTIONS)
     return (
-        audit.withColumn("prioridad", priority)
-        .where(F.col("prioridad") > 0)
-        .withColumn("rn", F.row_number().over(best))
-        .where(F.col("rn") == 1)
-        .select(
+        audit.where(f"seccion IN ({listed})")
+        .selectExpr("*", f"array_position(array({listed}), seccion) AS prioridad")
+        .selectExpr(
+            "*",
+            "row_number() OVER (PARTITION BY nro_caso"
+            " ORDER BY prioridad, fecha, campania, canal) AS rn",
+        )
+        .where("rn = 1")
+        .selectExpr(
             "nro_caso",
-            C.lenient_timestamp(F.col("fecha")).alias("fecha"),
+            f"{C.lenient_timestamp('fecha')} AS fecha",
             "campania",
             "canal",
-            F.lit(False).alias("atendido"),
-            F.col("seccion").alias("categoria_no_atendida"),
+            "false AS atendido",
+            "seccion AS categoria_no_atendida",
         )
     )
 
@@ -73,17 +73,12 @@ def not_attended_cases(audit: DataFrame) -> DataFrame:
 def build_cases(metrics: DataFrame, audit: DataFrame) -> DataFrame:
     """C5 + U2: attended and not attended cases in one table."""
     both = attended_cases(metrics).unionByName(not_attended_cases(audit))
-    return both.select(
+    return both.selectExpr(
         "nro_caso",
         "fecha",
-        label_missing(F.col("campania"), R.NO_CAMPAIGN).alias("campania"),
-        label_missing(F.col("canal"), R.NO_CHANNEL).alias("canal"),
+        f"{label_missing('campania', R.NO_CAMPAIGN)} AS campania",
+        f"{label_missing('canal', R.NO_CHANNEL)} AS canal",
         "atendido",
         "categoria_no_atendida",
-        C.two_hour_block(F.col("fecha")).alias("Rango Horario (2h)"),
+        f"{C.two_hour_block('fecha')} AS `Rango Horario (2h)`",
     ).select(*CASES.names)
-
-
-def report_columns(frame: DataFrame) -> list[Column]:
-    """The report columns in their fixed order."""
-    return [F.col(f"`{name}`") for name in REPORT.names if name in frame.columns]

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatledger.functions.calendar import date
+
 PERIOD = ("periodo_desde", "periodo_hasta")
 Period = tuple[dt.date, dt.date]
 
@@ -29,19 +30,19 @@ REPORTS = ReportKind("reporte", ("total_mensajes", "fecha_calculo"), ("primera_i
 CASE_TABLES = ReportKind("casos", (), ("fecha",))
 
 
-def inside(since: dt.date, until: dt.date) -> Column:
+def inside(since: dt.date, until: dt.date) -> str:
     """Periods that lie completely in the range. On a table partitioned by
     period this prunes directories."""
-    return (F.col(PERIOD[0]) >= F.lit(since)) & (F.col(PERIOD[1]) <= F.lit(until))
+    return f"{PERIOD[0]} >= {date(since)} AND {PERIOD[1]} <= {date(until)}"
+
+
+def _is(period: Period) -> str:
+    return f"({PERIOD[0]} = {date(period[0])} AND {PERIOD[1]} = {date(period[1])})"
 
 
-def one_of(periods: Sequence[Period]) -> Column:
+def one_of(periods: Sequence[Period]) -> str:
     """The listed periods."""
-    tests = [
-        (F.col(PERIOD[0]) == F.lit(since)) & (F.col(PERIOD[1]) == F.lit(until))
-        for since, until in periods
-    ]
-    return reduce(lambda a, b: a | b, tests, F.lit(False))
+    return " OR ".join(_is(period) for period in periods) or "false"
 
 
 def select_periods(
@@ -67,15 +68,12 @@ def union_reports(tables: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def _table_order(periods: Sequence[Period] | None) -> list[Column]:
+def _table_order(periods: Sequence[Period] | None) -> list[str]:
     """Earlier period first, or the order of an explicit list."""
-    if periods is None:
-        return [F.col(c).asc() for c in PERIOD]
-    chain = F
-    for place, (since, until) in enumerate(periods):
-        hit = (F.col(PERIOD[0]) == F.lit(since)) & (F.col(PERIOD[1]) == F.lit(until))
-        chain = chain.when(hit, place)
-    return [chain.asc()] if periods else []
+    if not periods:
+        return list(PERIOD)
+    places = " ".join(f"WHEN {_is(period)} THEN {i}" for i, period in enumerate(periods))
+    return [f"CASE {places} END"]
 
 
 def latest_per_case(
@@ -86,13 +84,13 @@ def latest_per_case(
 
     Filtering ``row_number() = 1`` makes Spark keep one candidate per case and map
     task before the shuffle."""
-    order = [F.col(c).desc_nulls_last() for c in kind.prefer if c in table.columns]
+    order = [f"{c} DESC NULLS LAST" for c in kind.prefer if c in table.columns]
     if PERIOD[0] in table.columns:
         order += _table_order(periods)
     if "atendido" in table.columns:
-        order.append(F.col("atendido").desc())
-    place = F.row_number().over(W.partitionBy("nro_caso").orderBy(*(order or [F.lit(1)])))
-    return table.withColumn("rn", place).where(F.col("rn") == 1).drop("rn")
+        order.append("atendido DESC")
+    place = f"row_number() OVER (PARTITION BY nro_caso ORDER BY {', '.join(order) or '1'}) AS rn"
+    return table.selectExpr("*", place).where("rn = 1").drop("rn")
 
 
 def sort_unified(table: DataFrame, kind: ReportKind) -> DataFrame:

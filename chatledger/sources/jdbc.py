@@ -57,7 +57,7 @@ def jdbc_options(
 def range_rows(spark: SparkSession, options: dict[str, str], since: dt.date, until: dt.date) -> DataFrame:
     """Rows of the date range with the eight source columns."""
     rows = spark.read.format("jdbc").options(**options).load()
-    return source_projection(rows).where(in_date_range(F.col("fecha_creacion"), since, until))
+    return source_projection(rows).where(in_date_range("fecha_creacion", since, until))
 
 
 def id_bounds(spark: SparkSession, options: dict[str, str], since: dt.date, until: dt.date) -> DataFrame:

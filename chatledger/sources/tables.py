@@ -80,13 +80,13 @@ def list_periods(spark: SparkSession, base: str) -> DataFrame:
 def read_named_files(spark: SparkSession, directory: str, kind: str, schema: T.StructType) -> DataFrame:
     """S7 + F15 for single files named ``<kind>_<from>_<to>.parquet``; files without
     two dates in the name (unified results) are left out."""
-    since, until = period_from_name(F.col("_metadata.file_name"))
+    since, until = period_from_name("_metadata.file_name")
     files = (
         spark.read.schema(schema).option("pathGlobFilter", f"{kind}_*.parquet").parquet(directory)
     )
-    return files.select(
-        "*", since.alias("periodo_desde"), until.alias("periodo_hasta")
-    ).where(F.col("periodo_desde").isNotNull() & F.col("periodo_hasta").isNotNull())
+    return files.selectExpr(
+        "*", f"{since} AS periodo_desde", f"{until} AS periodo_hasta"
+    ).where("periodo_desde IS NOT NULL AND periodo_hasta IS NOT NULL")
 
 
 def read_named_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

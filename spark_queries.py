@@ -49,7 +49,7 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    return X.interactions(spark, sf).select("id", T.normalize(F.col("contenido")).alias("texto"))
+    return X.interactions(spark, sf).selectExpr("id", f"{T.normalize('contenido')} AS texto")
 
 
 def facts(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,7 +76,7 @@ def stored_results(spark: SparkSession, sf: str, name: str) -> tuple[DataFrame,
 
 
 def kept(results: DataFrame) -> DataFrame:
-    return results.where(~F.col("descartado")).select(*PERIOD_COLS, "nro_caso", "metricas.*")
+    return results.where("NOT descartado").select(*PERIOD_COLS, "nro_caso", "metricas.*")
 
 
 def of_period(table: DataFrame, period) -> DataFrame:
@@ -84,8 +84,7 @@ def of_period(table: DataFrame, period) -> DataFrame:
 
 
 def with_period(results: DataFrame) -> DataFrame:
-    key = C.period_key(F.col("periodo_desde"), F.col("periodo_hasta"))
-    return results.withColumn("periodo", key)
+    return results.selectExpr("*", f"{C.period_key('periodo_desde', 'periodo_hasta')} AS periodo")
 
 
 def period_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,153 +293,141 @@ def p6_text_normalise(spark, sf):
 
 @query
 def p7_contains_term(spark, sf):
-    return texts(spark, sf).select(
+    return texts(spark, sf).selectExpr(
         "id",
-        T.contains_any(F.col("texto"), R.SALES_TERMS).alias("venta"),
-        T.contains_any(F.col("texto"), R.COLLEAGUE_TERMS).alias("colaborador"),
+        f"{T.contains_any('texto', R.SALES_TERMS)} AS venta",
+        f"{T.contains_any('texto', R.COLLEAGUE_TERMS)} AS colaborador",
     )
 
 
 @query
 def p8_call_marker(spark, sf):
-    return texts(spark, sf).select("id", T.is_call_marker(F.col("texto")).alias("marcador"))
+    return texts(spark, sf).selectExpr("id", f"{T.is_call_marker('texto')} AS marcador")
 
 
 @query
 def p9_system_user(spark, sf):
-    return X.interactions(spark, sf).select("id", T.is_system_user(F.col("usuario")).alias("sistema"))
+    return X.interactions(spark, sf).selectExpr("id", f"{T.is_system_user('usuario')} AS sistema")
 
 
 @query
 def p10_speaker(spark, sf):
-    return X.interactions(spark, sf).select(
-        "id", T.speaker(F.col("direccionamiento"), F.col("usuario")).alias("rol")
+    return X.interactions(spark, sf).selectExpr(
+        "id", f"{T.speaker('direccionamiento', 'usuario')} AS rol"
     )
 
 
 @query
 def p11_trivial(spark, sf):
-    return texts(spark, sf).select("id", T.is_trivial(F.col("texto")).alias("trivial"))
+    return texts(spark, sf).selectExpr("id", f"{T.is_trivial('texto')} AS trivial")
 
 
 @query
 def p12_multimedia(spark, sf):
-    return texts(spark, sf).select("id", T.is_multimedia(F.col("texto")).alias("multimedia"))
+    return texts(spark, sf).selectExpr("id", f"{T.is_multimedia('texto')} AS multimedia")
 
 
 # --- scalar functions --------------------------------------------------------
 
+TS = "CAST(ts AS TIMESTAMP_NTZ)"
 
-def _ts():
-    return F.col("ts").cast("timestamp_ntz")
+
+def over_events(spark, sf, **expressions: str) -> DataFrame:
+    return events(spark, sf).selectExpr(
+        "event_id", *[f"{sql} AS {name}" for name, sql in expressions.items()]
+    )
 
 
 @query
 def f1_minutes_between(spark, sf):
-    start = C.ntz("2024-01-01 00:00:00")
-    return events(spark, sf).select(
-        "event_id", N.minutes_between(start, _ts()).alias("minutos")
-    )
+    return over_events(spark, sf, minutos=N.minutes_between(C.ntz("2024-01-01 00:00:00"), TS))
 
 
 @query
 def f2_engagement_score(spark, sf):
-    return events(spark, sf).select("event_id", N.engagement_score(F.col("value")).alias("icc_score"))
+    return over_events(spark, sf, icc_score=N.engagement_score("value"))
 
 
 @query
 def f3_agent_name(spark, sf):
-    return X.interactions(spark, sf).select("id", T.agent_name(F.col("usuario")).alias("agente"))
+    return X.interactions(spark, sf).selectExpr("id", f"{T.agent_name('usuario')} AS agente")
 
 
 @query
 def f4_two_hour_block(spark, sf):
-    return events(spark, sf).select("event_id", C.two_hour_block(_ts()).alias("bloque"))
+    return over_events(spark, sf, bloque=C.two_hour_block(TS))
 
 
 @query
 def f5_day_fraction(spark, sf):
-    return events(spark, sf).select("event_id", C.day_fraction(_ts()).alias("fraccion"))
+    return over_events(spark, sf, fraccion=C.day_fraction(TS))
 
 
 @query
 def f6_minute_of_day(spark, sf):
-    return events(spark, sf).select("event_id", C.minute_of_day(_ts()).alias("minuto"))
+    return over_events(spark, sf, minuto=C.minute_of_day(TS))
 
 
 @query
 def f7_nearest_quarter(spark, sf):
-    return events(spark, sf).select("event_id", C.nearest_quarter(_ts()).alias("cuarto"))
+    return over_events(spark, sf, cuarto=C.nearest_quarter(TS))
 
 
 @query
 def f8_response_band(spark, sf):
-    value = F.col("value")
-    return events(spark, sf).select(
-        "event_id", N.response_band(value).alias("rango"), N.response_band_order(value).alias("orden")
+    return over_events(
+        spark, sf, rango=N.response_band("value"), orden=N.response_band_order("value")
     )
 
 
 @query
 def f9_pace_band(spark, sf):
-    value = F.col("value")
-    return events(spark, sf).select(
-        "event_id", N.pace_band(value).alias("rango"), N.pace_band_order(value).alias("orden")
-    )
+    return over_events(spark, sf, rango=N.pace_band("value"), orden=N.pace_band_order("value"))
 
 
 @query
 def f10_day_month_year(spark, sf):
-    return events(spark, sf).select("event_id", C.day_month_year(_ts()).alias("fecha"))
+    return over_events(spark, sf, fecha=C.day_month_year(TS))
 
 
 @query
 def f11_minute_text(spark, sf):
     rows = X.source_messages(spark, sf)
-    return rows.select("id", C.minute_text(L.parsed_time(rows)).alias("fecha"))
+    return rows.selectExpr("id", f"{C.minute_text(L.parsed_time(rows))} AS fecha")
 
 
 @query
 def f12_lenient_timestamp(spark, sf):
-    text = F.when(F.col("id") % 3 == 0, F.col("direccionamiento")).otherwise(
-        F.coalesce("fecha_creacion", F.lit(""))
-    )
-    return X.source_messages(spark, sf).select("id", C.lenient_timestamp(text).alias("fecha"))
+    text = "CASE WHEN id % 3 = 0 THEN direccionamiento ELSE coalesce(fecha_creacion, '') END"
+    return X.source_messages(spark, sf).selectExpr("id", f"{C.lenient_timestamp(text)} AS fecha")
 
 
 @query
 def f13_missing_labels(spark, sf):
-    return X.interactions(spark, sf).select(
+    return X.interactions(spark, sf).selectExpr(
         "id",
-        T.label_missing(F.col("campania"), R.NO_CAMPAIGN).alias("campania"),
-        T.label_missing(F.col("canal"), R.NO_CHANNEL).alias("canal"),
-        T.label_missing(T.agent_name(F.col("usuario")), R.NO_AGENT).alias("agente"),
+        f"{T.label_missing('campania', R.NO_CAMPAIGN)} AS campania",
+        f"{T.label_missing('canal', R.NO_CHANNEL)} AS canal",
+        f"{T.label_missing(T.agent_name('usuario'), R.NO_AGENT)} AS agente",
     )
 
 
-def _period_key():
-    day = _ts().cast("date")
-    return C.period_key(day, F.date_add(day, 1))
+DAY = "CAST(ts AS DATE)"
+KEY = C.period_key(DAY, f"date_add({DAY}, 1)")
 
 
 @query
 def f14_period_names(spark, sf):
-    return events(spark, sf).select(
-        "event_id", _period_key().alias("clave"), C.period_label(_period_key()).alias("etiqueta")
-    )
+    return over_events(spark, sf, clave=KEY, etiqueta=C.period_label(KEY))
 
 
 @query
 def f15_period_from_name(spark, sf):
-    event = F.col("event_id")
-    dashes = F.concat(F.lit("reporte_"), _period_key(), F.lit(".parquet"))
-    name = (
-        F.when(event % 5 == 0, "reporte_unificado.parquet")
-        .when(event % 2 == 0, F.translate(dashes, "-", "_"))
-        .otherwise(dashes)
-    )
+    name = f"""CASE WHEN event_id % 5 = 0 THEN 'reporte_unificado.parquet'
+      WHEN event_id % 2 = 0 THEN concat('reporte_', translate({KEY}, '-', '_'), '.parquet')
+      ELSE concat('reporte_', {KEY}, '.parquet') END"""
     since, until = C.period_from_name(name)
-    return events(spark, sf).select("event_id", since.alias("desde"), until.alias("hasta"))
+    return over_events(spark, sf, desde=since, hasta=until)
 
 
 # --- joins -------------------------------------------------------------------
@@ -455,7 +442,7 @@ def j1_category_sections(spark, sf):
 
 @query
 def j2_section_details(spark, sf):
-    other = F.when(F.col("nro_caso") % 5 == 0, "casos_otros").otherwise(F.col("seccion"))
+    other = F.expr("CASE WHEN nro_caso % 5 = 0 THEN 'casos_otros' ELSE seccion END")
     return A.with_section_order(one_audit(spark, sf).withColumn("seccion", other)).select(
         "nro_caso", "seccion", "orden", "descripcion"
     )
@@ -608,9 +595,9 @@ def u1_union_by_name(spark, sf):
     both = period_metrics(spark, sf).select(
         "periodo_desde", "nro_caso", "total_mensajes", "agente", "icc_score"
     )
-    first = F.col("periodo_desde") == F.lit(PERIODS[0][0])
+    first = f"periodo_desde = {C.date(PERIODS[0][0])}"
     old = both.where(first).drop("agente", "periodo_desde")
-    new = both.where(~first).drop("icc_score", "periodo_desde")
+    new = both.where(f"NOT {first}").drop("icc_score", "periodo_desde")
     return U.union_reports([new, old])
 
 
