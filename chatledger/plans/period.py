@@ -149,13 +149,11 @@ def report_period(spark: SparkSession, base: str, since: dt.date, until: dt.date
     report = tables.read_period(spark, to.reports, since, until, REPORT)
     tables.write_csv(report, tables.period_path(to.reports_csv, since, until))
 
-    audit = spark.createDataFrame([], AUDIT)
     json_path = tables.period_path(to.audit_json, since, until)
-    try:
+    if tables.exists(spark, json_path):
         audit = audits.read_audit(spark, json_path)
-    except Exception as error:  # only a missing audit is acceptable
-        if getattr(error, "getCondition", lambda: None)() != "PATH_NOT_FOUND":
-            raise
+    else:
+        audit = spark.createDataFrame([], AUDIT)
     tables.write_period(build_cases(metrics, audit), to.cases, since, until, CASES)
     cases = tables.read_period(spark, to.cases, since, until, CASES)
     tables.write_csv(cases, tables.period_path(to.cases_csv, since, until))
@@ -178,7 +176,7 @@ def unify_tables(
     )
     if periods is not None:
         for period in periods:
-            tables.read_period(spark, source, *period, schema)
+            tables.read_period(spark, source, *period, schema)  # raises if missing
     table = U.unify(
         tables.read_periods(spark, source, schema), kind, since, until, periods, dedup
     )

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatledger.operators.audit import flat_audit
 from chatledger.schemas import AUDIT, AUDIT_MASTER
-from chatledger.sources.tables import write_csv
+from chatledger.sources.tables import exists, write_csv
 
 _CASE = "struct<nro_caso: bigint, fecha: string, campania: string, canal: string>"
 
@@ -93,12 +92,8 @@ def remove_period(spark: SparkSession, base: str, key: str) -> bool:
     """K9: drop a period by dropping its directory; other periods are not touched.
     False when the master has no such period."""
     path = period_dir(base, key)
-    try:
-        spark.read.schema(AUDIT).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    if not exists(spark, path):
+        return False
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -44,17 +44,25 @@ def write_table(table: DataFrame, path: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` can be read; resolving a reader lists it and runs no job."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def read_period(
     spark: SparkSession, base: str, since: dt.date, until: dt.date, schema: T.StructType
 ) -> DataFrame:
     """One period; an error when it was never written."""
     path = period_path(base, since, until)
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"period not written yet: {path}") from error
-        raise
+    if not exists(spark, path):
+        raise FileNotFoundError(f"period not written yet: {path}")
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_periods(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:

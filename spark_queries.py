@@ -21,7 +21,7 @@ from chatledger.operators import report as B
 from chatledger.operators import unify as U
 from chatledger.plans import period as P
 from chatledger.schemas import (
-    AUDIT, CASES, MESSAGES, METRICS, REPORT,
+    AUDIT, CASE_RESULTS, CASES, MESSAGES, METRICS, REPORT,
 )
 from chatledger.sources import audits, tables
 from chatledger.sources.scratch import scratch_dir
@@ -75,6 +75,13 @@ def stored_results(spark: SparkSession, sf: str, name: str) -> tuple[DataFrame,
     return spark.read.schema(results.schema).parquet(f"{base}/resultados"), base
 
 
+def all_results(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """Case results of all messages as one period, stored."""
+    path = scratch_dir(spark, name) + "/resultados"
+    K.case_results(X.interactions(spark, sf), CALC).write.parquet(path)
+    return spark.read.schema(CASE_RESULTS).parquet(path)
+
+
 def kept(results: DataFrame) -> DataFrame:
     return results.where("NOT descartado").select(*PERIOD_COLS, "nro_caso", "metricas.*")
 
@@ -603,7 +610,7 @@ def u1_union_by_name(spark, sf):
 
 @query
 def u2_attended_union(spark, sf):
-    results = K.case_results(X.interactions(spark, sf), CALC)
+    results = all_results(spark, sf, "u2")
     table = B.build_cases(K.metrics_from_results(results), A.audit_rows(results))
     return table.groupBy("atendido", "categoria_no_atendida").agg(F.count("*").alias("casos"))
 
@@ -640,7 +647,7 @@ def c4_build_report(spark, sf):
 
 @query
 def c5_build_cases(spark, sf):
-    results = K.case_results(X.interactions(spark, sf), CALC)
+    results = all_results(spark, sf, "c5")
     return B.build_cases(K.metrics_from_results(results), A.audit_rows(results))
 
 
