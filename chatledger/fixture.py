@@ -50,8 +50,16 @@ _COLUMNS = f"""struct(
        ELSE concat('mensaje ', k) END AS contenido)"""
 
 
+def spread_small_input(rows: DataFrame, key: str) -> DataFrame:
+    """An input of fewer files than cores would keep most cores idle in the scan
+    stage, so its rows are spread first. An input of many files is left alone."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if len(rows.inputFiles()) < cores else rows
+
+
 def source_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    base = spread_small_input(events, "event_id").selectExpr(
         "event_id",
         "user_id",
         "event_type",

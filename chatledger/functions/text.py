@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from os.path import commonprefix
 
 from chatledger import rules as R
 from chatledger.rules import DEFAULT_RULES, Rules
@@ -43,6 +44,10 @@ def contains_any(normalized: str, terms: Iterable[str]) -> str:
     terms = list(dict.fromkeys(terms))
     needed = [t for t in terms if not any(o != t and o in t for o in terms)]
     tests = [f"contains({normalized}, {quoted(t)})" for t in needed]
+    prefix = commonprefix(needed)
+    if prefix and len(needed) > 2:
+        # one search settles the texts that have not even the common beginning
+        return f"(contains({normalized}, {quoted(prefix)}) AND ({' OR '.join(tests)}))"
     return f"({' OR '.join(tests) or 'false'})"
 
 

@@ -38,8 +38,10 @@ HOUR_MICROS = 3_600_000_000
 
 
 def _digest(text: str) -> str:
-    """32 bytes that stand for a text of any length; null stays null."""
-    return f"unhex(sha2({text}, 256))"
+    """16 bytes that stand for a text of any length; null stays null. Digests are
+    only ever compared inside one case, where 128 bits of SHA-256 leave no room for
+    chance matches."""
+    return f"substring(unhex(sha2({text}, 256)), 1, 16)"
 
 
 def _aggregates(expressions: dict[str, str]) -> list[Column]:
@@ -75,7 +77,6 @@ def marked_messages(
         *keys,
         f"{hour_number('fecha_creacion')} AS hora",
         "fecha_creacion",
-        "direccionamiento",
         "usuario",
         f"{_digest('contenido')} AS contenido",
         f"{X.speaker('direccionamiento', 'usuario', rules)} AS rol",
@@ -93,10 +94,12 @@ def marked_messages(
 def unique_messages(
     messages: DataFrame, rules: Rules = DEFAULT_RULES, keys: Sequence[str] = CASE
 ) -> DataFrame:
-    """W1 with the flags carried along; they follow from the message key."""
-    flags = ("rol", "marcador", "trivial", "multimedia", "venta", "colaborador", "texto_cliente")
+    """W1 with the flags carried along; they follow from the message key. The speaker
+    stands for the direction: only a client writes inbound."""
+    key = ("fecha_creacion", "rol", "usuario", "contenido")
+    flags = ("marcador", "trivial", "multimedia", "venta", "colaborador", "texto_cliente")
     marked = marked_messages(messages, rules, keys)
-    return collapse_copies(marked, (*keys, "hora", *COPY_KEY, *flags))
+    return collapse_copies(marked, (*keys, "hora", *key, *flags))
 
 
 def instants(

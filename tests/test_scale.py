@@ -69,11 +69,12 @@ def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-def test_case_plan(spark, sf_dir):
+def test_case_plan(spark, sf_dir, tmp_path):
     """Four shuffles from message to case; text and whole cases never cross one."""
     from chatledger import fixture
 
-    messages = fixture.interactions(spark, sf_dir)
+    fixture.interactions(spark, sf_dir).write.parquet(f"{tmp_path}/raw")
+    messages = spark.read.parquet(f"{tmp_path}/raw")
     plan = plan_of(case_metrics(messages, "2024-01-01"))
     keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
     names = [re.sub(r"#\d+L?", "", k).split(", ") for k in keys]
@@ -81,8 +82,7 @@ def test_case_plan(spark, sf_dir):
     assert names[0] == ["nro_caso"]
     assert names[1] == ["nro_caso", "hora"]
     assert names[2] == ["nro_caso", "hora", "fecha_creacion"]
-    assert names[3][:6] == [
-        "nro_caso", "hora", "fecha_creacion", "direccionamiento", "usuario", "contenido"]
+    assert names[3][:6] == ["nro_caso", "hora", "fecha_creacion", "rol", "usuario", "contenido"]
     assert "sha2" in plan and "Python" not in plan and "Pandas" not in plan
     # a window by case alone sees hours, never messages
     assert "partial_min" in plan.split("hashpartitioning(nro_caso#")[1]
