@@ -6,6 +6,8 @@ same with a ``periodo`` column.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,19 +121,24 @@ def general_summary(master: DataFrame) -> DataFrame:
     return audit_summary(master, GENERAL_TOTAL_TEXT)
 
 
-def period_matrix(master: DataFrame, periods: DataFrame | None = None) -> DataFrame:
+def period_matrix(
+    master: DataFrame,
+    periods: DataFrame | None = None,
+    names: Sequence[str] = SECTION_NAMES,
+) -> DataFrame:
     """Appearances per period and section with a row total.
 
-    The sections are the columns, so they must be known: the standard ones. Rows of
-    other sections count in the total only. ``periods`` (column ``periodo``) adds
-    periods without any appearance."""
+    The sections are the columns, so they are given: the standard ones by default.
+    Rows of other sections count in the total only. ``periods`` (column ``periodo``)
+    adds periods without any appearance."""
     matrix = master.groupBy("periodo").agg(
-        *[F.expr(f"count_if(seccion = {quoted(name)}) AS {name}") for name in SECTION_NAMES],
+        *[F.expr(f"count_if(seccion = {quoted(name)}) AS `{name}`") for name in names],
         F.count("*").alias(TOTAL),
     )
     if periods is not None:
         matrix = periods.select("periodo").distinct().join(matrix, "periodo", "left").na.fill(0)
-    return matrix.selectExpr(f"{period_label('periodo')} AS periodo", *SECTION_NAMES, TOTAL)
+    columns = [f"`{name}`" for name in (*names, TOTAL)]
+    return matrix.selectExpr(f"{period_label('periodo')} AS periodo", *columns)
 
 
 def appearances_per_period(master: DataFrame, periods: DataFrame | None = None) -> DataFrame:

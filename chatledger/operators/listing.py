@@ -3,9 +3,10 @@
 A plain ``orderBy().limit(N)`` with a large N sends up to N rows of every
 partition to one task, and a ``row_number`` per section sorts a whole section in
 one task. Here counting comes first: the order is made of few blocks (period and
-section), so the counts per block tell which blocks lie inside the limit. Of the
-one block that crosses it, case-number ranges are counted in the same way. Only
-rows inside the limit plus at most one such range are sorted.
+section), so the counts per block tell which blocks lie inside the limit. The one
+block that crosses it is cut at its quantiles into ranges of about equal size,
+which are counted in the same way. Only the rows inside the limit plus at most one
+such range are sorted.
 """
 
 from __future__ import annotations
@@ -15,64 +16,109 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RANGES = 4096
+RANGES = 256
 
 
-def capped_listing(
+def _marked(table: DataFrame, names: Sequence[str], prefix: str) -> DataFrame:
+    return table.withColumnsRenamed({name: f"{prefix}_{name}" for name in names})
+
+
+def _same(names: Sequence[str], prefix: str):
+    return F.expr(" AND ".join(f"{name} <=> {prefix}_{name}" for name in names))
+
+
+def _partition(within: Sequence[str]) -> str:
+    return f"PARTITION BY {', '.join(within)}" if within else ""
+
+
+def _order(blocks: Mapping[str, str]) -> str:
+    return ", ".join(f"{name} {way}" for name, way in blocks.items())
+
+
+def near_the_limit(
     rows: DataFrame,
     limit: int,
     blocks: Mapping[str, str],
     within: Sequence[str] = (),
     key: str = "nro_caso",
-    tie: str = "fecha",
 ) -> DataFrame:
-    """The first ``limit`` rows (per ``within``, if given) in the order of ``blocks``
-    (column name -> ASC or DESC), then ``key``. Adds ``truncado``.
+    """All rows that can be among the first ``limit``, with few others; adds
+    ``truncado``.
 
-    The broadcast tables hold one row per block and at most ``RANGES`` rows per
-    crossing block: calendar periods times sections, never rows of the list."""
+    The broadcast tables hold one row per block (calendar periods times sections), and
+    the cuts of the one crossing block per list; never rows of the list itself."""
     names = [*within, *blocks]
-    partition = f"PARTITION BY {', '.join(within)}" if within else ""
-    order = ", ".join(f"{name} {way}" for name, way in blocks.items())
+    partition, order = _partition(within), _order(blocks)
 
-    def before(last: str) -> str:
+    def before(last: str, groups: str) -> str:
         return (
-            f"coalesce(sum(n) OVER ({partition} ORDER BY {last}"
+            f"coalesce(sum(n) OVER ({groups} ORDER BY {last}"
             " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
         )
 
-    def renamed(columns: Sequence[str]) -> list[str]:
-        return [f"{c} AS b_{c}" for c in columns]
-
-    def same(columns: Sequence[str]):
-        return F.expr(" AND ".join(f"{c} <=> b_{c}" for c in columns))
-
-    kept_blocks = (
-        rows.groupBy(*names)
-        .agg(F.count("*").alias("n"), F.min(key).alias("desde"), F.max(key).alias("hasta"))
-        .selectExpr(
-            "*", f"{before(order)} AS antes", f"sum(n) OVER ({partition}) > {limit} AS truncado"
+    sizes = rows.groupBy(*names).agg(F.count("*").alias("n"))
+    kept = (
+        sizes.selectExpr(
+            "*",
+            f"{before(order, partition)} AS antes",
+            f"sum(n) OVER ({partition}) > {limit} AS truncado",
         )
         .where(f"antes < {limit}")
-        .selectExpr(*renamed(names), "desde", "hasta", "truncado", f"antes + n > {limit} AS cruza")
+        .selectExpr(
+            *names, "truncado", f"{limit} - antes AS resto", f"antes + n > {limit} AS cruza"
+        )
+    )
+    kept = _marked(kept, names, "k")
+
+    # the crossing block; when nothing is cut off this side is empty and costs no scan
+    crossing = rows.join(F.broadcast(kept.where("cruza")), _same(names, "k"))
+    shares = ", ".join(f"{i / RANGES}D" for i in range(1, RANGES))
+    cuts = crossing.groupBy(*names).agg(
+        F.expr(f"percentile_approx({key}, array({shares}), 1000) AS cortes")
     )
-    # the crossing block is cut into ranges of the key, all others stay whole
-    range_no = f"floor(({key} - desde) / (hasta - desde + 1D) * {RANGES})"
-    inside = rows.join(F.broadcast(kept_blocks), same(names)).selectExpr(
-        *rows.columns, "truncado", f"CASE WHEN cruza THEN coalesce({range_no}, -1) ELSE -1 END AS tramo"
+    cuts = _marked(cuts, names, "c")
+    range_no = f"coalesce(size(filter(cortes, c -> c < {key})), 0)"
+    counted = (
+        crossing.join(F.broadcast(cuts), _same(names, "c"))
+        .selectExpr(*names, "resto", "cortes", f"{range_no} AS tramo")
+        .groupBy(*names, "resto", "tramo")
+        .agg(F.count("*").alias("n"), F.first("cortes").alias("cortes"))
     )
-    kept_ranges = (
-        inside.groupBy(*names, "tramo")
-        .agg(F.count("*").alias("n"))
-        .selectExpr("*", f"{before(f'{order}, tramo')} AS antes")
-        .where(f"antes < {limit}")
-        .selectExpr(*renamed([*names, "tramo"]))
+    ends = (
+        counted.selectExpr(
+            "*", f"{before('tramo', f'PARTITION BY {chr(44).join(names)}')} AS antes"
+        )
+        .where("antes < resto")
+        .groupBy(*names)
+        .agg(F.max("tramo").alias("ultimo"), F.first("cortes").alias("cortes"))
+    )
+    ends = _marked(ends, names, "c")
+
+    return (
+        rows.join(F.broadcast(kept), _same(names, "k"))
+        .join(F.broadcast(ends), F.col("cruza") & _same(names, "c"), "left")
+        .where(f"NOT cruza OR {range_no} <= ultimo")
+        .select(*rows.columns, "truncado")
     )
-    pruned = inside.join(F.broadcast(kept_ranges), same([*names, "tramo"]), "left_semi").drop("tramo")
-    full_order = f"{order}, {key} ASC NULLS FIRST, {tie}"
+
+
+def capped_listing(
+    rows: DataFrame,
+    limit: int,
+    blocks: Mapping[str, str],
+    within: Sequence[str] = (),
+    key: str = "nro_caso",
+    tie: str = "fecha",
+) -> DataFrame:
+    """The first ``limit`` rows (per ``within``, if given) in the order of ``blocks``
+    (column name -> ASC or DESC), then ``key``. Adds ``truncado``."""
+    few = near_the_limit(rows, limit, blocks, within, key)
     if not within:
         way = {"ASC": F.asc, "DESC": F.desc}
         keys = [way[w](name) for name, w in blocks.items()]
-        return pruned.orderBy(*keys, F.asc_nulls_first(key), tie).limit(limit)
-    place = f"row_number() OVER ({partition} ORDER BY {full_order}) AS lugar"
-    return pruned.selectExpr("*", place).where(f"lugar <= {limit}").drop("lugar")
+        return few.orderBy(*keys, F.asc_nulls_first(key), tie).limit(limit)
+    place = (
+        f"row_number() OVER ({_partition(within)} ORDER BY {_order(blocks)},"
+        f" {key} ASC NULLS FIRST, {tie}) AS lugar"
+    )
+    return few.selectExpr("*", place).where(f"lugar <= {limit}").drop("lugar")

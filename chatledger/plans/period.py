@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chatledger.operators import audit as A
 from chatledger.operators import unify as U
 from chatledger.operators.classify import case_results, metrics_from_results
-from chatledger.operators.cleaning import clean_messages, count_between, messages_between
+from chatledger.operators.cleaning import clean_messages, count_between, rows_between
 from chatledger.operators.report import build_cases, build_report
 from chatledger.rules import DEFAULT_RULES, Rules
 from chatledger.schemas import AUDIT, CASE_RESULTS, CASES, MESSAGES, METRICS, REPORT
@@ -65,7 +65,7 @@ def extract_period(
     """Source rows of the period, cleaned, as raw Parquet and CSV; returns the number
     of source rows and of rows kept. The source is read once for the data."""
     to = Folders(base)
-    messages = messages_between(clean_messages(rows), since, until)
+    messages = clean_messages(rows_between(rows, since, until))
     tables.write_period(messages, to.raw, since, until, MESSAGES)
     raw = tables.read_period(spark, to.raw, since, until, MESSAGES)
     lines = tables.one_line_texts(raw).drop("id")

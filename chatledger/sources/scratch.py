@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new directory under the session's shared ``spark.checkpoint.dir``. Only a
     local session without that setting gets a folder of this machine."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/chatledger/{name}-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):

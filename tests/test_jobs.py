@@ -121,6 +121,15 @@ def test_period_filter_prunes_directories(spark, base):
     assert "periodo_desde" in plan.split("PartitionFilters:")[1].split("]")[0]
 
 
+def test_date_range_is_pushed_down(spark, base):
+    from chatledger.operators.cleaning import clean_messages, rows_between
+
+    rows = spark.read.schema(MESSAGES).parquet(f"{base}/raw")
+    plan = clean_messages(rows_between(rows, *PERIODS[0]))._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters:")[1]
+    assert "GreaterThanOrEqual(fecha_creacion" in pushed and "LessThan(fecha_creacion" in pushed
+
+
 def test_missing_columns_become_null(spark):
     old = spark.createDataFrame([(1, 2)], "nro_caso long, total_mensajes long")
     new = spark.createDataFrame([(2, 3, "x")], "nro_caso long, total_mensajes long, agente string")
@@ -232,6 +241,9 @@ class Session:
         self.sparkContext = self
         self.master = master
 
+    def getCheckpointDir(self):
+        return None
+
 
 def test_scratch_folder(spark):
     found = scratch.scratch_dir(Session("hdfs://x/shared/", "yarn"), "x")

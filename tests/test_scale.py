@@ -11,7 +11,7 @@ import oracle_queries as O
 from chatledger.operators import audit as A
 from chatledger.operators import grains as G
 from chatledger.operators.classify import case_metrics, classify_cases
-from chatledger.operators.listing import capped_listing
+from chatledger.operators.listing import RANGES, capped_listing, near_the_limit
 from chatledger.operators.unify import REPORTS, latest_per_case
 from compare import difference
 
@@ -115,6 +115,8 @@ def audit_log(spark):
         for section in names:
             for _ in range(rng.choice([5, 40, 700])):
                 rows.add((rng.randrange(5000), section, period))
+    # one case number far away from all others
+    rows |= {(10**15, names[0], p) for _, _, p in rows}
     data = [(c, "2024-01-01 00:00", None, None, s, p) for c, s, p in sorted(rows)]
     return data, spark.createDataFrame(data, AUDIT_COLUMNS).repartition(5)
 
@@ -139,6 +141,19 @@ def test_capped_listings(spark, limit):
         assert all(r.truncado == (len(wanted) > limit) for r in found if r.seccion == section)
 
 
+def test_listing_sorts_little_more_than_the_limit(spark):
+    """The crossing block is cut near the limit even when its keys are very uneven."""
+    rows = spark.range(0, 200_000, 1, 8).selectExpr(
+        "IF(id = 7, 1000000000000000, id) AS nro_caso", "'' AS fecha",
+        "substring(concat('p', id), 1, 1) AS periodo", "substring(concat('s', id), 1, 1) AS seccion")
+    frame = capped_listing(rows, 1000, {"periodo": "DESC"}, within=["seccion"])
+    assert sorted(r.nro_caso for r in frame.collect()) == [*range(7), *range(8, 1001)]
+    plan = plan_of(frame)
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    few = near_the_limit(rows, 1000, {"periodo": "DESC"}, within=["seccion"]).count()
+    assert 1000 <= few <= 1000 + 3 * 200_000 // RANGES
+
+
 def test_summary_and_matrix(spark):
     data, frame = audit_log(spark)
     rows = A.general_summary(frame).orderBy("orden").collect()
