@@ -88,6 +88,18 @@ def test_case_plan(spark, sf_dir, tmp_path):
     assert "partial_min" in plan.split("hashpartitioning(nro_caso#")[1]
 
 
+def test_partitioning_by_case_is_reused(spark, sf_dir, tmp_path):
+    """A caller who knows that no case is large needs one shuffle; results are equal."""
+    from chatledger import fixture
+
+    fixture.interactions(spark, sf_dir).write.parquet(f"{tmp_path}/raw")
+    messages = spark.read.parquet(f"{tmp_path}/raw")
+    by_case = case_metrics(messages.repartition("nro_caso"), "2024-01-01")
+    assert plan_of(by_case).count("Exchange hashpartitioning") == 1
+    ladder = case_metrics(messages, "2024-01-01")
+    assert sorted(map(str, by_case.collect())) == sorted(map(str, ladder.collect()))
+
+
 def test_latest_report_prunes_before_the_shuffle(spark, sf_dir):
     table = spark.range(10).selectExpr(
         "id AS nro_caso", "id AS total_mensajes", "current_timestamp() AS fecha_calculo",
