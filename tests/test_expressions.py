@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from chatledger.functions import calendar as C
 from chatledger.functions import numbers as N

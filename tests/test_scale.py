@@ -5,7 +5,6 @@ import re
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import oracle_queries as O
 from chatledger.operators import audit as A
