@@ -13,8 +13,8 @@ works on the table of sources.
 
 Rates become whole copies: every document gets floor(rate), and extra copies go to cells of
 (source, size), from large sizes to small, so that the words given out follow the words due
-at each cell: what a large document misses, smaller ones make up for, and a source ends
-about half its smallest document from its target. Which documents of a cell get the extra
+at each cell: what a large document misses, smaller ones make up for, and a few exchanges
+of single copies bring a source to its target or next to it. Which documents of a cell get the extra
 copy is decided by a hash of id and text, in buckets of bounded size; so reruns agree and
 no cell, however hot, is ranked by one task.
 
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,8 +35,8 @@ from pyspark.sql import functions as F
 from chatledger.llm.common import stored
 
 WEIGHTS, MOST = (5, 2, 1), 3
-#: Rows of a cell that are ranked together, Newton steps, rounds of sharing out.
-_BUCKET, _STEPS, _ROUNDS = 100_000, 200, 10_000
+#: Rows of a cell that are ranked together, Newton steps, rounds of sharing out, exchanges.
+_BUCKET, _STEPS, _ROUNDS, _MENDS = 100_000, 200, 10_000, 20
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -86,7 +87,8 @@ def rates(balanced: DataFrame, most: float = MOST) -> DataFrame:
 
 def _rounded(cells: pd.DataFrame) -> pd.DataFrame:
     """Extra copies for the cells of one source: from large sizes to small, as many as
-    bring the words given out nearest to the words due so far."""
+    bring the words given out nearest to the words due so far. What is still missing or
+    too much at the end is mended by single copies added, taken away or exchanged."""
     cells = cells.sort_values("size", ascending=False)
     extra, due, given = [], 0.0, 0
     for size, n, part in zip(cells["size"], cells["n"], cells["part"]):
@@ -94,7 +96,26 @@ def _rounded(cells: pd.DataFrame) -> pd.DataFrame:
         k = min(int(n), max(0, round((due - given) / size))) if size else round(part * n)
         given += k * int(size)
         extra.append(k)
-    return pd.DataFrame({"place": cells["place"], "size": cells["size"], "n": cells["n"], "extra": extra})
+    sizes, counts, extra = cells["size"].to_numpy(), cells["n"].to_numpy(), np.array(extra, dtype=np.int64)
+    for _ in range(_MENDS):
+        missing = due - float(given)
+        plus = np.flatnonzero((extra < counts) & (sizes > 0))[::-1]  # by rising size, as the other
+        minus = np.flatnonzero((extra > 0) & (sizes > 0))[::-1]
+        # one more of size a and one less of size b; 0: nothing
+        a, b = np.r_[0, sizes[plus]], np.r_[0, sizes[minus]]
+        at = np.searchsorted(b, a - missing)
+        near = np.stack([np.clip(at - 1, 0, len(b) - 1), np.clip(at, 0, len(b) - 1)])
+        errors = np.abs(missing - a + b[near])
+        side, best = np.unravel_index(errors.argmin(), errors.shape)
+        if errors[side, best] >= abs(missing) - 1e-9:
+            break
+        other = near[side, best]
+        if best:
+            extra[plus[best - 1]] += 1
+        if other:
+            extra[minus[other - 1]] -= 1
+        given += int(a[best]) - int(b[other])
+    return pd.DataFrame({"place": cells["place"], "size": sizes, "n": counts, "extra": extra})
 
 
 def copies(
