@@ -39,6 +39,8 @@ PASSAGE, STRIDE, EDIT_EVERY, Q, LEAST = 60, 30, 12, 8, 24
 BLOCK_CHARS = 2_000_000
 _BITS = 20
 _WINDOW = 1 << 16
+#: Bands aligned together; what no text contains.
+_ALIGNED, _OUTSIDE = 4096, 0xFFFFFFFF
 _FACTOR = 0x9E3779B97F4A7C15
 _POWERS = [pow(_FACTOR, n, 1 << 64) for n in (1, 2, 4)]
 _BLANKS = np.array([9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x2028, 0x2029, 0x3000], dtype=np.uint32)
@@ -84,25 +86,34 @@ def shared_needed(m: int) -> int:
     return m - Q + 1 - Q * edits_allowed(m)
 
 
-def aligned(pattern: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int]:
-    """Least edits between the pattern and any stretch of the text, over diagonals
-    ``low..high`` (text less pattern position), and the end of that stretch."""
-    width = high - low + 1
-    big = len(pattern) + 1
-    steps = np.arange(width)
-    j = low + steps  # text position of row 0: a start anywhere costs nothing
-    row = np.where((j >= 0) & (j <= len(text)), 0, big)
-    for i, code in enumerate(pattern):
-        j = i + 1 + low + steps
-        inside = (j >= 0) & (j <= len(text))
-        char = text[np.clip(j - 1, 0, max(0, len(text) - 1))] if len(text) else np.zeros(width, np.uint32)
-        swap = row + ((char != code) | (j < 1))
-        drop = np.append(row[1:], big) + 1
-        row = np.where(inside, np.minimum(swap, drop), big)
-        row = np.minimum.accumulate(row - steps) + steps
-        row = np.where(inside, row, big)
-    best = int(row.argmin())
-    return int(row[best]), len(pattern) + low + best
+def aligned(patterns: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Banded alignment of many pairs at once. Pattern k may start at any of the first
+    ``width`` places of window k, which has ``width + m`` characters; its alignment stays on
+    those diagonals. Returns the least edits and where in the window that stretch ends."""
+    pairs, m = patterns.shape
+    width = windows.shape[1] - m
+    steps = np.arange(width, dtype=np.int16)
+    row = np.zeros((pairs, width), dtype=np.int16)
+    drop = np.empty_like(row)
+    for i in range(m):
+        drop[:, :-1], drop[:, -1] = row[:, 1:], m
+        drop += 1
+        row += windows[:, i : i + width] != patterns[:, i : i + 1]
+        np.minimum(row, drop, out=row)
+        row -= steps
+        np.minimum.accumulate(row, axis=1, out=row)
+        row += steps
+    best = row.argmin(axis=1)
+    return row[np.arange(pairs), best], best + m
+
+
+def _cut(codes: np.ndarray, start: int, size: int) -> np.ndarray:
+    """Characters ``start`` to ``start + size``; what lies outside the text equals nothing."""
+    out = np.full(size, _OUTSIDE, dtype=np.uint32)
+    low, high = max(0, start), min(len(codes), start + size)
+    if low < high:
+        out[low - start : high - start] = codes[low:high]
+    return out
 
 
 class Index:
@@ -152,75 +163,103 @@ class Index:
             chosen |= np.cumsum(edge[:-1]) > 0
         return np.flatnonzero(chosen & marked)
 
-    def find(self, text: str | None) -> list[dict]:
-        """For each benchmark row that the text holds a passage of: where, the least
-        edits, and how many passages."""
-        if not text or not len(self.grams):
-            return []
-        codes, at = normalised(text)
-        best: dict[int, tuple[int, int, int]] = {}
-        for low in range(0, max(1, len(codes) - self.reach), _WINDOW):
-            self._window(codes, low, min(len(codes), low + _WINDOW + 2 * self.reach), best)
-        found: dict[int, list] = defaultdict(list)
-        for passage, hit in best.items():
-            found[id(self.passages[passage][0])].append((passage, *hit))
-        out = []
-        for hits in found.values():
-            start, end = min(h[2] for h in hits), max(h[3] for h in hits)
-            out.append(
-                {
-                    "item": self.passages[hits[0][0]][0],
-                    "start": int(at[start]),
-                    "end": int(at[end - 1]) + 1,
-                    "edits": min(h[1] for h in hits),
-                    "passages": len(hits),
-                }
-            )
+    def find(self, texts: list[str | None]) -> list[list[dict]]:
+        """For each text, and each benchmark row that it holds a passage of: where, the
+        least edits, and how many passages."""
+        out: list[list[dict]] = [[] for _ in texts]
+        waiting, size = [], 0
+        for number, text in enumerate(texts):
+            if not text or not len(self.grams):
+                continue
+            codes, at = normalised(text)
+            found = [
+                self._window(codes, low, min(len(codes), low + _WINDOW + 2 * self.reach))
+                for low in range(0, max(1, len(codes) - self.reach), _WINDOW)
+            ]
+            chosen = np.unique(np.concatenate(found), axis=0)
+            if len(chosen):
+                waiting.append((number, codes, at, chosen))
+                size += len(chosen) + len(codes) // 100
+            if size > _ALIGNED:
+                self._verify(waiting, out)
+                waiting, size = [], 0
+        self._verify(waiting, out)
         return out
 
-    def _window(self, codes: np.ndarray, low: int, high: int, best: dict) -> None:
+    def _window(self, codes: np.ndarray, low: int, high: int) -> np.ndarray:
+        """(passage, first diagonal) of the bands with enough shared q-grams."""
+        none = np.zeros((0, 2), dtype=np.int64)
         hashes = _hashes(codes[low:high])
         if not len(hashes):
-            return
+            return none
         positions = self.stretches(self.bitmap[_slot(hashes)])
         if not len(positions):
-            return
+            return none
         rank = np.searchsorted(self.grams, hashes[positions])
         known = self.grams[np.minimum(rank, len(self.grams) - 1)] == hashes[positions]
         positions, rank = positions[known], rank[known]
         sizes = self.first[rank + 1] - self.first[rank]
-        for lo, hi in _batches(sizes):  # a bounded number of shared q-grams at once
-            self._bands(codes, low, positions[lo:hi], rank[lo:hi], sizes[lo:hi], best)
+        # a bounded number of shared q-grams at once
+        bands = [self._bands(positions[lo:hi], rank[lo:hi], sizes[lo:hi], low) for lo, hi in _batches(sizes)]
+        return np.concatenate([none, *bands])
 
-    def _bands(self, codes, low, positions, rank, sizes, best) -> None:
+    def _bands(self, positions: np.ndarray, rank: np.ndarray, sizes: np.ndarray, low: int) -> np.ndarray:
         total = int(sizes.sum())
-        if not total:
-            return
         offset = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         passage, inner = self.entries[np.repeat(self.first[rank], sizes) + offset].T
         diagonal = np.repeat(positions, sizes) - inner + PASSAGE  # never negative
-        wide = 2 * self.edits[passage] + 1
-        band = diagonal // wide
+        band = diagonal // (2 * self.edits[passage] + 1)
         keys = np.concatenate([passage << 32 | band + 1, passage << 32 | band])  # band b: diagonals of b-1 and b
-        keys, counts = np.unique(keys, return_counts=True)
-        for key in keys[counts >= self.needed[keys >> 32]].tolist():
-            p, b = key >> 32, key & 0xFFFFFFFF
-            part, edits = self.passages[p][1], int(self.edits[p])
-            if p in best and best[p][0] == 0:
-                continue
-            wide = 2 * edits + 1
-            first = low + (b - 1) * wide - PASSAGE - edits
-            last = low + (b + 1) * wide - 1 - PASSAGE + edits
-            begin = max(0, first)
-            text = codes[begin : max(begin, last + len(part))]
-            cost, end = aligned(part, text, first - begin, last - begin)
-            if cost > edits or p in best and best[p][0] <= cost:
-                continue
-            back = text[:end][::-1]
-            slack = len(part) + edits
-            _, length = aligned(part[::-1], back[:slack], -edits, edits)
-            length = max(1, min(length, end))
-            best[p] = (cost, begin + end - length, begin + end)
+        keys.sort()
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        counts = np.diff(np.append(first, len(keys)))
+        keys = keys[first]
+        keys = keys[counts >= self.needed[keys >> 32]]
+        passage, band = keys >> 32, keys & 0xFFFFFFFF
+        edits = self.edits[passage]
+        return np.stack([passage, low - PASSAGE + (band - 1) * (2 * edits + 1) - edits], axis=1)
+
+    def _verify(self, waiting: list[tuple], out: list[list[dict]]) -> None:
+        """Align the chosen bands of some texts, those of one passage length together."""
+        if not waiting:
+            return
+        text = np.repeat(np.arange(len(waiting)), [len(w[3]) for w in waiting])
+        passage, first = np.concatenate([w[3] for w in waiting]).T
+        sizes = np.array([len(p) for _, p in self.passages])[passage]
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for m in np.unique(sizes).tolist():
+            e = edits_allowed(m)
+            rows = np.flatnonzero(sizes == m)
+            for some in np.array_split(rows, math.ceil(len(rows) / _ALIGNED)):
+                patterns = np.stack([self.passages[p][1] for p in passage[some].tolist()])
+                width = 2 * (2 * e + 1) + 2 * e
+                starts = list(zip(text[some].tolist(), first[some].tolist()))
+                cost, ends = aligned(patterns, np.stack([_cut(waiting[t][1], f, width + m) for t, f in starts]))
+                fine = np.flatnonzero(cost <= e)
+                if not len(fine):
+                    continue
+                # from the end backwards, for the start
+                stops = [(starts[k][0], starts[k][1] + int(ends[k])) for k in fine.tolist()]
+                back = np.stack([_cut(waiting[t][1], end - e - m - 1, 2 * e + 1 + m)[::-1] for t, end in stops])
+                _, lengths = aligned(patterns[fine, ::-1], back)
+                for k, (t, end), length in zip(fine.tolist(), stops, lengths.tolist()):
+                    key = t, int(passage[some[k]])
+                    begin, end = max(0, end + e - length), min(len(waiting[t][1]), end)
+                    best[key] = min(best.get(key, (m, 0, 0)), (int(cost[k]), min(begin, end - 1), end))
+        found: dict[tuple[int, int], list] = defaultdict(list)
+        for (t, p), hit in sorted(best.items()):
+            found[t, id(self.passages[p][0])].append((self.passages[p][0], *hit))
+        for (t, _), hits in found.items():
+            number, _, at, _ = waiting[t]
+            out[number].append(
+                {
+                    "item": hits[0][0],
+                    "start": int(at[min(h[2] for h in hits)]),
+                    "end": int(at[max(h[3] for h in hits) - 1]) + 1,
+                    "edits": min(h[1] for h in hits),
+                    "passages": len(hits),
+                }
+            )
 
 
 def _batches(sizes: np.ndarray, most: int = 1 << 20, overlap: int = 2 * (PASSAGE + Q)) -> list[tuple[int, int]]:
@@ -252,7 +291,7 @@ def _hits(df: DataFrame, index: Index, text: str, kind: str):
     sent = df.sparkSession.sparkContext.broadcast(index)
 
     def run(texts: list) -> list:
-        return [[h | {"item": h["item"][0]} for h in sent.value.find(t)] for t in texts]
+        return [[h | {"item": h["item"][0]} for h in hits] for hits in sent.value.find(texts)]
 
     ddl = f"array<struct<item:{kind},start:bigint,end:bigint,edits:int,passages:int>>"
     return per_text(run, ddl)(F.col(text))

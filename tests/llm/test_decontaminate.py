@@ -45,13 +45,16 @@ def test_needed_counts_are_positive():
 
 def test_alignment():
     rnd = random.Random(4)
-    for _ in range(300):
+    code = lambda t: np.array([[ord(c) for c in t]], dtype=np.uint32)
+    for _ in range(400):
         pattern = "".join(rnd.choice("ab") for _ in range(rnd.randint(1, 12)))
         text = "".join(rnd.choice("ab") for _ in range(rnd.randint(0, 20)))
-        code = lambda t: np.array([ord(c) for c in t], dtype=np.uint32)
-        got, end = D.aligned(code(pattern), code(text), -len(pattern), len(text))
+        pad = len(pattern)
+        window = code("." * pad + text + "." * (pad + 1))
+        (got,), (end,) = D.aligned(code(pattern), window)
         assert got == edits(pattern, text)
-        assert min(edits(pattern, text[s:end]) for s in range(end + 1)) == got
+        stretch = window[0, :end].tolist()
+        assert min(edits([ord(c) for c in pattern], stretch[s:]) for s in range(end + 1)) == got
 
 
 @pytest.mark.parametrize("window", [200, D._WINDOW])
@@ -66,7 +69,7 @@ def test_random_regions(monkeypatch, window):
         a = rnd.randrange(max(1, len(part) - 80))
         part = changed(rnd, part[a : a + rnd.choice((50, 70, 100, 400))], rnd.randint(0, 12))
         text = words(rnd, rnd.randint(0, 60)) + " " + part.upper() + "\n\n " + words(rnd, rnd.randint(0, 60))
-        got = {h["item"][0] for h in index.find(text)}
+        got = {h["item"][0] for h in index.find([text])[0]}
         want = {i for i, t in enumerate(items) if holds(text, t)}
         assert got == want
         seen[bool(want)] += 1
@@ -76,7 +79,7 @@ def test_random_regions(monkeypatch, window):
 def test_spans():
     item = "The quick brown fox jumps over the lazy dog while seven wizards box jovially nearby."
     text = "é " * 40 + item.upper().replace(" ", " \n") + " é" * 40
-    (hit,) = D.Index([([7], item)]).find(text)
+    (hit,) = D.Index([([7], item)]).find([text])[0]
     assert text[hit["start"] : hit["end"]] == item.upper().replace(" ", " \n")
     assert hit["edits"] == 0 and hit["item"] == [7]
 
