@@ -39,7 +39,7 @@ _COLUMNS = f"""struct(
   CASE WHEN k < 10 THEN NULL WHEN k < 12 THEN '' ELSE concat('CANAL ', k % 3) END AS canal,
   CASE WHEN k % 9 <> 0 THEN concat(' CAMP ', user_id % 4) END AS campania,
   CASE WHEN event_id % 307 = 5 THEN repeat('x', 5000)
-       WHEN user_id % 11 = 3 AND {_CLIENT} THEN 'necesito mi factura'
+       WHEN user_id % 11 = 3 AND {_CLIENT} THEN 'me llega la copia de la factura'
        WHEN k < 5 THEN NULL
        WHEN k < 10 THEN concat('foto_', k, '.jpg')
        WHEN k < 15 THEN 'Hola!'
@@ -50,16 +50,9 @@ _COLUMNS = f"""struct(
        ELSE concat('mensaje ', k) END AS contenido)"""
 
 
-def spread_small_input(rows: DataFrame, key: str) -> DataFrame:
-    """An input of fewer files than cores would keep most cores idle in the scan
-    stage, so its rows are spread first. An input of many files is left alone."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if len(rows.inputFiles()) < cores else rows
-
-
 def source_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    base = spread_small_input(events, "event_id").selectExpr(
+    base = events.selectExpr(
         "event_id",
         "user_id",
         "event_type",

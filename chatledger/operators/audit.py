@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from chatledger import rules as R
 from chatledger.functions.calendar import minute_text, period_label
 from chatledger.functions.text import quoted
-from chatledger.operators.listing import capped_listing
 
 SECTION_NAMES = tuple(R.SECTIONS.values())
 TOTAL = "TOTAL"
@@ -153,35 +152,34 @@ def _detail(master: DataFrame) -> DataFrame:
     return with_section_order(master).select("periodo", "orden", "seccion", "nro_caso", "fecha")
 
 
-def all_cases_listing(master: DataFrame, limit: int = R.LISTING_ROWS) -> DataFrame:
-    """O3: every appearance, newest period first, then section order, then case; at
-    most ``limit`` rows. ``truncado`` tells whether rows were left out."""
-    rows = capped_listing(
-        _detail(master), limit, {"periodo": "DESC", "orden": "ASC", "seccion": "ASC"}
+def all_cases_listing(master: DataFrame) -> DataFrame:
+    """O3: every appearance, newest period first, then section order, then case. One range
+    sort, which splits any period or section over tasks."""
+    rows = _detail(master).orderBy(
+        F.desc("periodo"), "orden", "seccion", F.asc_nulls_first("nro_caso"), "fecha"
     )
     return rows.selectExpr(
-        "nro_caso", "fecha", "seccion AS categoria",
-        f"{period_label('periodo')} AS periodo", "truncado",
+        "nro_caso", "fecha", "seccion AS categoria", f"{period_label('periodo')} AS periodo"
     )
 
 
-def section_listings(master: DataFrame, limit: int = R.LISTING_ROWS) -> DataFrame:
-    """The same per section, each with its own limit and flag."""
-    rows = capped_listing(_detail(master), limit, {"periodo": "DESC"}, within=["seccion"])
+def section_listings(master: DataFrame) -> DataFrame:
+    """The same section by section."""
+    rows = _detail(master).orderBy(
+        "orden", "seccion", F.desc("periodo"), F.asc_nulls_first("nro_caso"), "fecha"
+    )
     return rows.selectExpr(
-        "seccion", "nro_caso", "fecha", f"{period_label('periodo')} AS periodo", "truncado"
+        "seccion", "nro_caso", "fecha", f"{period_label('periodo')} AS periodo"
     )
 
 
-def audit_overview(
-    master: DataFrame, periods: DataFrame | None = None, limit: int = R.LISTING_ROWS
-) -> dict[str, DataFrame]:
+def audit_overview(master: DataFrame, periods: DataFrame | None = None) -> dict[str, DataFrame]:
     """The tables of the general audit by sheet name."""
     return {
         "Resumen": general_summary(master),
         "Por periodo": period_matrix(master, periods),
-        "Todos": all_cases_listing(master, limit),
-        "Por seccion": section_listings(master, limit),
+        "Todos": all_cases_listing(master),
+        "Por seccion": section_listings(master),
     }
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatledger import rules as R
 from chatledger.functions import calendar as C
 from chatledger.functions.text import strip
 from chatledger.schemas import SOURCE_COLUMNS
@@ -80,7 +79,7 @@ def clean_messages(rows: DataFrame) -> DataFrame:
         f"{clean_label('usuario')} AS usuario",
         f"{clean_label('canal')} AS canal",
         f"{clean_label('campania')} AS campania",
-        f"substring(CAST(contenido AS STRING), 1, {R.TEXT_LENGTH}) AS contenido",
+        "CAST(contenido AS STRING) AS contenido",
     )
 
 

@@ -169,7 +169,8 @@ def unify_tables(
     periods: list[U.Period] | None = None,
     dedup: bool = True,
 ) -> DataFrame:
-    """C6 with its sink (K7): the unified table, stored sorted as Parquet and CSV."""
+    """C6 with its sink (K7): the unified table, stored sorted as Parquet and CSV. A
+    selection that holds no rows is refused, and the stored table stays as it is."""
     to = Folders(base)
     source, schema = (
         (to.reports, REPORT) if kind.name == U.REPORTS.name else (to.cases, CASES)
@@ -177,9 +178,10 @@ def unify_tables(
     if periods is not None:
         for period in periods:
             tables.read_period(spark, source, *period, schema)  # raises if missing
-    table = U.unify(
-        tables.read_periods(spark, source, schema), kind, since, until, periods, dedup
-    )
+    available = tables.read_periods(spark, source, schema)
+    if U.select_periods(available, since, until, periods).isEmpty():
+        raise ValueError("no rows in the selected periods; the unified table was left as it is")
+    table = U.unify(available, kind, since, until, periods, dedup)
     path, csv_path = to.unified(kind)
     tables.write_table(table, path)
     stored = spark.read.schema(schema).parquet(path)

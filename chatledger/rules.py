@@ -60,8 +60,6 @@ MEDIA_STRIP = "[]<>() "
 LONG_CASE_MESSAGES = 30
 MAX_GAP_HOURS = 24
 TRIVIAL_LENGTH = 3
-TEXT_LENGTH = 4000
-LISTING_ROWS = 1_047_999
 
 # category -> audit section, in the order in which sections are reported
 SECTIONS = {
@@ -134,5 +132,9 @@ class Rules:
     long_case_messages: int = LONG_CASE_MESSAGES
     max_gap_hours: int = MAX_GAP_HOURS
 
+    def __post_init__(self) -> None:
+        if self.max_gap_hours < 1:  # gaps are compared between hours, so shorter limits cannot be exact
+            raise ValueError("max_gap_hours must be at least 1")
+
 
 DEFAULT_RULES = Rules()

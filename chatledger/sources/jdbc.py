@@ -73,14 +73,13 @@ def read_messages(
     until: dt.date,
     *,
     rows_per_partition: int = 1_000_000,
-    max_partitions: int = 256,
     **connection,
 ) -> DataFrame:
     """S1 with the partition bounds taken from the database first."""
     bounds = id_bounds(spark, jdbc_options(**connection), since, until).first()
     if not bounds["total"]:
         return range_rows(spark, jdbc_options(**connection), since, until)
-    partitions = min(max_partitions, bounds["total"] // rows_per_partition + 1)
+    partitions = bounds["total"] // rows_per_partition + 1
     options = jdbc_options(
         **connection, id_range=(bounds["desde"], bounds["hasta"]), partitions=partitions
     )

@@ -145,7 +145,7 @@ primeras AS (
     CASE WHEN k < 10 THEN NULL WHEN k < 12 THEN '' ELSE 'CANAL ' || (k % 3) END AS canal,
     CASE WHEN k % 9 = 0 THEN NULL ELSE ' CAMP ' || (user_id % 4) END AS campania,
     CASE WHEN event_id % 307 = 5 THEN repeat('x', 5000)
-         WHEN user_id % 11 = 3 AND event_type IN ('click', 'view') THEN 'necesito mi factura'
+         WHEN user_id % 11 = 3 AND event_type IN ('click', 'view') THEN 'me llega la copia de la factura'
          WHEN k < 5 THEN NULL WHEN k < 10 THEN 'foto_' || k || '.jpg' WHEN k < 15 THEN 'Hola!'
          WHEN k < 20 THEN 'gracias por todo' WHEN k < 35 THEN 'precio del combo ' || k
          WHEN k < 50 THEN 'parce, el turno ' || k WHEN k < 53 THEN 'Llamada Saliente'
@@ -175,7 +175,7 @@ interactions AS (
   SELECT id, TRY_CAST(nro_caso AS BIGINT) AS nro_caso,
          TRY_CAST(fecha_creacion AS TIMESTAMP) AS fecha_creacion,
          {_DIRECTION} AS direccionamiento, {_label('usuario')}, {_label('canal')},
-         {_label('campania')}, substring(contenido, 1, {R.TEXT_LENGTH}) AS contenido
+         {_label('campania')}, contenido
   FROM source_messages WHERE {_VALID})"""
 )
 
@@ -611,16 +611,11 @@ def oracle_sql() -> dict[str, str]:
     )
     listing = "replace(periodo, '_', ' a ') AS periodo"
     q["o3_capped_listing"] = periods(
-        f"""SELECT nro_caso, fecha, seccion AS categoria, {listing},
-          (SELECT count(*) FROM auditoria) > {R.LISTING_ROWS} AS truncado
+        f"""SELECT nro_caso, fecha, seccion AS categoria, {listing}
         FROM auditoria JOIN secciones USING (seccion)
-        ORDER BY auditoria.periodo DESC, orden, nro_caso LIMIT {R.LISTING_ROWS}""", PA
-    )
-    q["o4_section_listings"] = periods(
-        f"""SELECT seccion, nro_caso, fecha, {listing}, n > {R.LISTING_ROWS} AS truncado
-        FROM (SELECT *, count(*) OVER (PARTITION BY seccion) AS n, row_number() OVER (PARTITION BY seccion
-          ORDER BY periodo DESC, nro_caso) AS rn FROM auditoria) WHERE rn <= {R.LISTING_ROWS}""", PA
+        ORDER BY auditoria.periodo DESC, orden, nro_caso""", PA
     )
+    q["o4_section_listings"] = periods(f"SELECT seccion, nro_caso, fecha, {listing} FROM auditoria", PA)
 
     # set operations
     q["u1_union_by_name"] = periods(

@@ -120,7 +120,7 @@ def test_cleaning(spark):
     assert (first.nro_caso, first.direccionamiento) == (12, "INBOUND")
     assert first.fecha_creacion == dt.datetime(2024, 1, 2, 3, 4, 5, 678000)
     assert (first.usuario, first.canal, first.campania) == ("", None, "x")
-    assert len(first.contenido) == 4000
+    assert first.contenido == "y" * 5000
     assert {r.motivo: r.filas for r in rejected_counts(frame).collect()} == {
         "sin_caso": 1, "sin_fecha": 1, "direccion_desconocida": 1, "caso_ilegible": 1,
         "fecha_ilegible": 2}

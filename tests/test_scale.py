@@ -10,7 +10,6 @@ import oracle_queries as O
 from chatledger.operators import audit as A
 from chatledger.operators import grains as G
 from chatledger.operators.classify import case_metrics, classify_cases
-from chatledger.operators.listing import RANGES, capped_listing, near_the_limit
 from chatledger.operators.unify import REPORTS, latest_per_case
 from compare import difference
 
@@ -132,37 +131,23 @@ def audit_log(spark):
     return data, spark.createDataFrame(data, AUDIT_COLUMNS).repartition(5)
 
 
-@pytest.mark.parametrize("limit", [0, 1, 7, 50, 333, 1000, 10**6])
-def test_capped_listings(spark, limit):
+def test_listings_are_whole_and_in_order(spark):
     data, frame = audit_log(spark)
     place = {s: i for i, s in enumerate(A.SECTION_NAMES)}
     rank = lambda r: (place.get(r[4], 99), r[4], r[0])
     ordered = [r for p in sorted({r[5] for r in data}, reverse=True)
                for r in sorted((r for r in data if r[5] == p), key=rank)]
-    ours = A.all_cases_listing(frame, limit).collect()
-    assert [(r.nro_caso, r.categoria, r.periodo) for r in ours] == [
-        (r[0], r[4], r[5].replace("_", " a ")) for r in ordered[:limit]]
-    assert all(r.truncado == (len(data) > limit) for r in ours)
-
-    found = A.section_listings(frame, limit).collect()
+    listing = A.all_cases_listing(frame)
+    assert [(r.nro_caso, r.categoria, r.periodo) for r in listing.collect()] == [
+        (r[0], r[4], r[5].replace("_", " a ")) for r in ordered]
+    plan = plan_of(A.all_cases_listing(frame))
+    assert plan.count("rangepartitioning") == 1 and "SinglePartition" not in plan and "Limit" not in plan
+
+    found = A.section_listings(frame).collect()
+    assert len(found) == len(data)
     for section in {r[4] for r in data}:
         wanted = [(r[0], r[5].replace("_", " a ")) for r in ordered if r[4] == section]
-        mine = {(r.nro_caso, r.periodo) for r in found if r.seccion == section}
-        assert mine == set(wanted[:limit])
-        assert all(r.truncado == (len(wanted) > limit) for r in found if r.seccion == section)
-
-
-def test_listing_sorts_little_more_than_the_limit(spark):
-    """The crossing block is cut near the limit even when its keys are very uneven."""
-    rows = spark.range(0, 200_000, 1, 8).selectExpr(
-        "IF(id = 7, 1000000000000000, id) AS nro_caso", "'' AS fecha",
-        "substring(concat('p', id), 1, 1) AS periodo", "substring(concat('s', id), 1, 1) AS seccion")
-    frame = capped_listing(rows, 1000, {"periodo": "DESC"}, within=["seccion"])
-    assert sorted(r.nro_caso for r in frame.collect()) == [*range(7), *range(8, 1001)]
-    plan = plan_of(frame)
-    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
-    few = near_the_limit(rows, 1000, {"periodo": "DESC"}, within=["seccion"]).count()
-    assert 1000 <= few <= 1000 + 3 * 200_000 // RANGES
+        assert [(r.nro_caso, r.periodo) for r in found if r.seccion == section] == wanted
 
 
 def test_summary_and_matrix(spark):
