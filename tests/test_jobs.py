@@ -95,6 +95,10 @@ def test_unify(spark, base, kind, schema):
         P.unify_tables(spark, base, kind, periods=[(dt.date(2020, 1, 1), dt.date(2020, 1, 1))])
     with pytest.raises(ValueError):
         P.unify_tables(spark, base, kind, dt.date(2024, 1, 4), dt.date(2024, 1, 1))
+    before = spark.read.parquet(P.Folders(base).unified(kind)[0]).count()
+    with pytest.raises(ValueError, match="no rows"):
+        P.unify_tables(spark, base, kind, dt.date(2019, 1, 1), dt.date(2019, 1, 2))
+    assert spark.read.parquet(P.Folders(base).unified(kind)[0]).count() == before > 0
 
 
 def test_unified_table_is_sorted(spark, base):
