@@ -120,23 +120,41 @@ def general_summary(master: DataFrame) -> DataFrame:
     return audit_summary(master, GENERAL_TOTAL_TEXT)
 
 
+def section_names(master: DataFrame, most: int = 1000) -> tuple[str, ...]:
+    """The standard sections and any others of ``master``, by name. One aggregate; more
+    than ``most`` others are refused, as they cannot all be columns."""
+    known = ", ".join(quoted(name) for name in SECTION_NAMES)
+    others = master.where(f"seccion NOT IN ({known})").select("seccion").distinct()
+    found = sorted(row.seccion for row in others.limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"over {most} other sections; count them with appearances_per_section")
+    return (*SECTION_NAMES, *found)
+
+
+def appearances_per_section(master: DataFrame) -> DataFrame:
+    """A13 in long form, for any number of sections: one row per period and section."""
+    return master.groupBy("periodo", "seccion").agg(F.count("*").alias("casos"))
+
+
 def period_matrix(
     master: DataFrame,
     periods: DataFrame | None = None,
-    names: Sequence[str] = SECTION_NAMES,
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
     """Appearances per period and section with a row total.
 
-    The sections are the columns, so they are given: the standard ones by default.
-    Rows of other sections count in the total only. ``periods`` (column ``periodo``)
-    adds periods without any appearance."""
+    The sections are the columns: the standard ones and those found in ``master``, which
+    costs one aggregate unless ``names`` gives them. Rows of sections not in ``names``
+    count in the total only. ``periods`` (column ``periodo``) adds periods without any
+    appearance."""
+    names = section_names(master) if names is None else names
     matrix = master.groupBy("periodo").agg(
-        *[F.expr(f"count_if(seccion = {quoted(name)}) AS `{name}`") for name in names],
+        *[F.count_if(F.col("seccion") == F.lit(name)).alias(name) for name in names],
         F.count("*").alias(TOTAL),
     )
     if periods is not None:
         matrix = periods.select("periodo").distinct().join(matrix, "periodo", "left").na.fill(0)
-    columns = [f"`{name}`" for name in (*names, TOTAL)]
+    columns = [f"`{name.replace('`', '``')}`" for name in (*names, TOTAL)]
     return matrix.selectExpr(f"{period_label('periodo')} AS periodo", *columns)
 
 

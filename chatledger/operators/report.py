@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +50,8 @@ def not_attended_cases(audit: DataFrame) -> DataFrame:
     """Cases nobody attended, each in its first section by priority.
 
     ``row_number() = 1`` lets Spark keep only the best row per case in every map
-    task before it shuffles, so a case listed very often stays cheap."""
+    task before it shuffles, so a case listed very often stays cheap. Of several entries
+    in one section those without a date come last, then the earliest wins."""
     listed = ", ".join(quoted(s) for s in R.NOT_ATTENDED_SECTIONS)
     return (
         audit.where(f"seccion IN ({listed})")
@@ -56,7 +59,7 @@ def not_attended_cases(audit: DataFrame) -> DataFrame:
         .selectExpr(
             "*",
             "row_number() OVER (PARTITION BY nro_caso"
-            " ORDER BY prioridad, fecha, campania, canal) AS rn",
+            " ORDER BY prioridad, nullif(fecha, '') NULLS LAST, campania, canal) AS rn",
         )
         .where("rn = 1")
         .selectExpr(
@@ -72,8 +75,36 @@ def not_attended_cases(audit: DataFrame) -> DataFrame:
 
 def build_cases(metrics: DataFrame, audit: DataFrame) -> DataFrame:
     """C5 + U2: attended and not attended cases in one table."""
-    both = attended_cases(metrics).unionByName(not_attended_cases(audit))
+    return _labelled(attended_cases(metrics).unionByName(not_attended_cases(audit)))
+
+
+def cases_from_results(results: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """C5 + U2 straight from ``case_results``, in one narrow pass: a case is attended, or
+    it is in at most one section of those nobody attended, its first by priority.
+    ``keys`` are carried along, such as the columns of the period."""
+    first = " ".join(
+        f"WHEN array_contains(categorias, {quoted(category)}) THEN {quoted(section)}"
+        for section in R.NOT_ATTENDED_SECTIONS
+        for category, name in R.SECTIONS.items()
+        if name == section
+    )
+    rows = results.selectExpr("*", f"CASE WHEN descartado THEN CASE {first} END END AS seccion")
+    listed = C.lenient_timestamp(C.minute_text("fecha_caso"))
+    both = rows.where("NOT descartado OR seccion IS NOT NULL").selectExpr(
+        *keys,
+        "nro_caso",
+        f"CASE WHEN descartado THEN {listed} ELSE metricas.primera_interaccion_cliente END AS fecha",
+        "CASE WHEN descartado THEN campania_caso ELSE metricas.campania END AS campania",
+        "CASE WHEN descartado THEN canal_caso ELSE metricas.canal_primera_interaccion END AS canal",
+        "NOT descartado AS atendido",
+        "seccion AS categoria_no_atendida",
+    )
+    return _labelled(both, keys)
+
+
+def _labelled(both: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return both.selectExpr(
+        *keys,
         "nro_caso",
         "fecha",
         f"{label_missing('campania', R.NO_CAMPAIGN)} AS campania",
@@ -81,4 +112,4 @@ def build_cases(metrics: DataFrame, audit: DataFrame) -> DataFrame:
         "atendido",
         "categoria_no_atendida",
         f"{C.two_hour_block('fecha')} AS `Rango Horario (2h)`",
-    ).select(*CASES.names)
+    ).select(*keys, *CASES.names)

@@ -60,23 +60,20 @@ def period_key(since: dt.date, until: dt.date) -> str:
 
 
 def extract_period(
-    spark: SparkSession, rows: DataFrame, base: str, since: dt.date, until: dt.date
+    spark: SparkSession, rows: DataFrame, base: str, since: dt.date, until: dt.date, csv: bool = True
 ) -> DataFrame:
-    """Source rows of the period, cleaned, as raw Parquet and CSV; returns the number
-    of source rows and of rows kept. The source is read once for the data."""
+    """Source rows of the period, cleaned, as raw Parquet and, if wanted, CSV; returns
+    the number of source rows, counted before the extract, and of rows kept."""
     to = Folders(base)
+    expected = count_between(rows, since, until).first()["total"]
     messages = clean_messages(rows_between(rows, since, until))
     tables.write_period(messages, to.raw, since, until, MESSAGES)
     raw = tables.read_period(spark, to.raw, since, until, MESSAGES)
-    lines = tables.one_line_texts(raw).drop("id")
-    tables.write_csv(lines, tables.period_path(to.raw_csv, since, until))
-    source = count_between(rows, since, until).select(
-        F.lit("estimado_origen").alias("concepto"), F.col("total").alias("valor")
-    )
-    kept = raw.agg(F.count("*").alias("valor")).select(
-        F.lit("total_filas").alias("concepto"), "valor"
-    )
-    return source.unionByName(kept)
+    if csv:
+        lines = tables.one_line_texts(raw).drop("id")
+        tables.write_csv(lines, tables.period_path(to.raw_csv, since, until))
+    counts = raw.agg(F.lit(expected).cast("bigint").alias("estimado_origen"), F.count("*").alias("total_filas"))
+    return counts.unpivot([], counts.columns, "concepto", "valor")
 
 
 def compute_period(
@@ -86,6 +83,7 @@ def compute_period(
     until: dt.date,
     calc_ts: dt.datetime | str | Column | None = None,
     rules: Rules = DEFAULT_RULES,
+    csv: bool = True,
 ) -> DataFrame:
     """Metrics and audit of a period from its raw messages; returns the summary.
 
@@ -97,8 +95,9 @@ def compute_period(
     results = tables.read_period(spark, to.results, since, until, CASE_RESULTS)
 
     tables.write_period(metrics_from_results(results), to.metrics, since, until, METRICS)
-    metrics = tables.read_period(spark, to.metrics, since, until, METRICS)
-    tables.write_csv(metrics, tables.period_path(to.metrics_csv, since, until))
+    if csv:
+        metrics = tables.read_period(spark, to.metrics, since, until, METRICS)
+        tables.write_csv(metrics, tables.period_path(to.metrics_csv, since, until))
 
     audit = A.audit_rows(results)
     audits.upsert_period(audit, to.master, period_key(since, until))
@@ -108,7 +107,7 @@ def compute_period(
     audits.write_audit(
         stored,
         tables.period_path(to.audit_json, since, until),
-        tables.period_path(to.audit_csv, since, until),
+        tables.period_path(to.audit_csv, since, until) if csv else None,
     )
     return A.run_summary(results)
 
@@ -124,8 +123,10 @@ def run_period(
     only_metrics: bool = False,
     calc_ts: dt.datetime | str | Column | None = None,
     rules: Rules = DEFAULT_RULES,
+    csv: bool = True,
 ) -> DataFrame:
-    """Extract, then compute. Running a period again replaces it."""
+    """Extract, then compute. Running a period again replaces it. ``csv=False``
+    leaves out the CSV copies."""
     if since > until:
         raise ValueError("the first date must not be after the last")
     if only_extract and only_metrics:
@@ -134,29 +135,34 @@ def run_period(
     if not only_metrics:
         if rows is None:
             raise ValueError("source rows are needed to extract")
-        summaries.append(extract_period(spark, rows, base, since, until))
+        summaries.append(extract_period(spark, rows, base, since, until, csv))
     if not only_extract:
-        summaries.append(compute_period(spark, base, since, until, calc_ts, rules))
+        summaries.append(compute_period(spark, base, since, until, calc_ts, rules, csv))
     return U.union_reports(summaries)
 
 
-def report_period(spark: SparkSession, base: str, since: dt.date, until: dt.date) -> DataFrame:
+def report_period(
+    spark: SparkSession, base: str, since: dt.date, until: dt.date, csv: bool = True
+) -> DataFrame:
     """The report and the cases table of a period (K5, K6); returns the report.
-    Without an audit for the period the cases table has attended cases only."""
+    Without an audit for the period the cases table has attended cases only. The audit
+    comes from the master table, of which only the sections needed are read."""
     to = Folders(base)
     metrics = tables.read_period(spark, to.metrics, since, until, METRICS)
     tables.write_period(build_report(metrics), to.reports, since, until, REPORT)
     report = tables.read_period(spark, to.reports, since, until, REPORT)
-    tables.write_csv(report, tables.period_path(to.reports_csv, since, until))
+    if csv:
+        tables.write_csv(report, tables.period_path(to.reports_csv, since, until))
 
-    json_path = tables.period_path(to.audit_json, since, until)
-    if tables.exists(spark, json_path):
-        audit = audits.read_audit(spark, json_path)
+    audit_path = audits.period_dir(to.master, period_key(since, until))
+    if tables.exists(spark, audit_path):
+        audit = spark.read.schema(AUDIT).parquet(audit_path)
     else:
         audit = spark.createDataFrame([], AUDIT)
     tables.write_period(build_cases(metrics, audit), to.cases, since, until, CASES)
-    cases = tables.read_period(spark, to.cases, since, until, CASES)
-    tables.write_csv(cases, tables.period_path(to.cases_csv, since, until))
+    if csv:
+        cases = tables.read_period(spark, to.cases, since, until, CASES)
+        tables.write_csv(cases, tables.period_path(to.cases_csv, since, until))
     return report
 
 
@@ -168,9 +174,10 @@ def unify_tables(
     until: dt.date | None = None,
     periods: list[U.Period] | None = None,
     dedup: bool = True,
+    csv: bool = True,
 ) -> DataFrame:
-    """C6 with its sink (K7): the unified table, stored sorted as Parquet and CSV. A
-    selection that holds no rows is refused, and the stored table stays as it is."""
+    """C6 with its sink (K7): the unified table, stored as sorted Parquet files and CSV
+    copies of them (each sorted; the Parquet files hold the order of the whole). A selection that holds no rows is refused, and the stored table stays as it is."""
     to = Folders(base)
     source, schema = (
         (to.reports, REPORT) if kind.name == U.REPORTS.name else (to.cases, CASES)
@@ -185,5 +192,6 @@ def unify_tables(
     path, csv_path = to.unified(kind)
     tables.write_table(table, path)
     stored = spark.read.schema(schema).parquet(path)
-    tables.write_csv(U.sort_unified(stored, kind), csv_path)
+    if csv:
+        tables.write_csv(stored, csv_path)
     return stored

@@ -26,8 +26,9 @@ def _parsed_cases(rows: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def write_audit(audit: DataFrame, json_path: str, csv_path: str) -> None:
-    """K4: JSON, one line ``{"seccion": .., "caso": {..}}`` per case, and the flat CSV.
+def write_audit(audit: DataFrame, json_path: str, csv_path: str | None = None) -> None:
+    """K4: JSON, one line ``{"seccion": .., "caso": {..}}`` per case, and the flat CSV if
+    it gets a path.
 
     Lines instead of one nested document: a section may hold any number of cases, and
     lines are written and read in parallel."""
@@ -38,7 +39,8 @@ def write_audit(audit: DataFrame, json_path: str, csv_path: str) -> None:
         .option("ignoreNullFields", False)
         .json(json_path)
     )
-    write_csv(flat_audit(audit), csv_path)
+    if csv_path is not None:
+        write_csv(flat_audit(audit), csv_path)
 
 
 def read_audit(spark: SparkSession, json_path: str) -> DataFrame:

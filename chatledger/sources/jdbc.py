@@ -54,6 +54,12 @@ def jdbc_options(
     return options
 
 
+def probe(spark: SparkSession, options: dict[str, str]) -> None:
+    """One constant row through the connection; raises if that cannot be had."""
+    query = {k: v for k, v in options.items() if k != "dbtable"} | {"query": "SELECT 1 AS ok"}
+    spark.read.format("jdbc").options(**query).load().first()
+
+
 def range_rows(spark: SparkSession, options: dict[str, str], since: dt.date, until: dt.date) -> DataFrame:
     """Rows of the date range with the eight source columns."""
     rows = spark.read.format("jdbc").options(**options).load()

@@ -86,22 +86,29 @@ def list_periods(spark: SparkSession, base: str) -> DataFrame:
 
 
 def read_named_files(spark: SparkSession, directory: str, kind: str, schema: T.StructType) -> DataFrame:
-    """S7 + F15 for single files named ``<kind>_<from>_<to>.parquet``; files without
-    two dates in the name (unified results) are left out."""
+    """S7 + F15 for single files named ``<kind>_<from>_<to>.parquet``. Unified results
+    are left out by their name; other files without two dates in it are kept, with null
+    periods, so that only a selection by range or period leaves them out."""
     since, until = period_from_name("_metadata.file_name")
     files = (
         spark.read.schema(schema).option("pathGlobFilter", f"{kind}_*.parquet").parquet(directory)
     )
     return files.selectExpr(
         "*", f"{since} AS periodo_desde", f"{until} AS periodo_hasta"
-    ).where("periodo_desde IS NOT NULL AND periodo_hasta IS NOT NULL")
+    ).where(f"NOT startswith(_metadata.file_name, '{kind}_unificado')")
 
 
 def read_named_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Messages of a raw file without ``id``: the row position stands in for it."""
+    """Messages of raw files without ``id``: the row position stands in for it, over
+    all files in the order of their paths. The files are counted first (from their
+    footers' row counts); the running total has one row per file."""
     fields = T.StructType([f for f in schema.fields if f.name != "id"])
     rows = spark.read.schema(fields).parquet(path)
-    return rows.select(F.col("_metadata.row_index").alias("id"), "*")
+    placed = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    sizes = placed.groupBy("__file").agg(F.count("*").alias("__rows"))
+    before = "coalesce(sum(__rows) OVER (ORDER BY __file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"
+    starts = sizes.selectExpr("__file", f"{before} AS __start")
+    return placed.join(starts, "__file").selectExpr("__start + __row AS id", *[f"`{n}`" for n in fields.names])
 
 
 def _csv_text(name: str, kind: T.DataType) -> Column:

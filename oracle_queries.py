@@ -6,9 +6,9 @@ aggregation ladder of the package, so the two sides check each other.
 
 from __future__ import annotations
 
-from chatledger import rules as R
+import oracle_values as R
 from chatledger.fixture import CALC_TIMES, PERIODS
-from chatledger.functions.text import BLANKS
+from oracle_values import BLANKS
 
 
 def lit(text: str) -> str:
@@ -441,9 +441,9 @@ def oracle_sql() -> dict[str, str]:
     )
     q["k3_metrics_csv"] = one("SELECT * REPLACE (nullif(campania, '') AS campania) FROM metricas", M)
     q["k4_audit_csv"] = one("SELECT nro_caso, fecha, seccion AS categoria FROM auditoria", A)
-    q["k5_report_sink"] = periods(f"SELECT {METRIC_COLS} FROM reporte WHERE {P2}", PM, report())
+    q["k5_report_sink"] = periods("SELECT * EXCLUDE (calc_ts) FROM reporte", PM, report())
     q["k6_cases_sink"] = periods(
-        f"SELECT {_CASES_PERIOD} FROM tabla_casos WHERE {P2}", PM, PA, cases_table(PERIOD_KEYS)
+        "SELECT * FROM tabla_casos", PM, PA, cases_table(PERIOD_KEYS)
     )
     q["k7_unified_sink"] = periods(
         f"SELECT * EXCLUDE (periodo_desde, periodo_hasta, calc_ts) FROM ({_LATEST.format(t='reporte')})",
@@ -488,6 +488,14 @@ def oracle_sql() -> dict[str, str]:
     q["p11_trivial"] = messages(f"SELECT id, {trivial('texto')} AS trivial FROM ({text})")
     q["p12_multimedia"] = messages(f"SELECT id, {multimedia('texto')} AS multimedia FROM ({text})")
 
+    for table, keys in (("documents", "doc_id"), ("conversations", "conv_id, turn")):
+        q[f"p_text_predicates_{table}"] = f"""
+            SELECT {keys}, md5(texto) AS texto_md5, length(texto) AS largo,
+                   {any_of('texto', R.SALES_TERMS)} AS venta, {any_of('texto', R.COLLEAGUE_TERMS)} AS colaborador,
+                   {in_list('texto', R.CALL_MARKERS)} AS marcador, {trivial('texto')} AS trivial,
+                   {multimedia('texto')} AS multimedia
+            FROM (SELECT {keys}, {norm('text')} AS texto FROM {table})"""
+
     # scalar functions
     since = "TIMESTAMP '2024-01-01 00:00:00'"
     q["f1_minutes_between"] = (
@@ -596,7 +604,7 @@ def oracle_sql() -> dict[str, str]:
     q["w6_priority_section"] = periods(
         "SELECT nro_caso, TRY_CAST(fecha AS TIMESTAMP) AS fecha, campania, canal, FALSE AS atendido,"
         " seccion AS categoria_no_atendida FROM (SELECT *, row_number() OVER (PARTITION BY nro_caso"
-        " ORDER BY prioridad, fecha, campania NULLS FIRST, canal NULLS FIRST) AS rn"
+        " ORDER BY prioridad, nullif(fecha, '') NULLS LAST, campania NULLS FIRST, canal NULLS FIRST) AS rn"
         " FROM auditoria JOIN (VALUES "
         + ", ".join(f"({lit(s)}, {i})" for i, s in enumerate(R.NOT_ATTENDED_SECTIONS, 1))
         + ") p(seccion, prioridad) USING (seccion)) WHERE rn = 1",

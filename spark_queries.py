@@ -21,7 +21,7 @@ from chatledger.operators import report as B
 from chatledger.operators import unify as U
 from chatledger.plans import period as P
 from chatledger.schemas import (
-    AUDIT, CASE_RESULTS, CASES, MESSAGES, METRICS, REPORT,
+    AUDIT, CASES, MESSAGES, METRICS, REPORT,
 )
 from chatledger.sources import audits, tables
 from chatledger.sources.scratch import scratch_dir
@@ -75,11 +75,9 @@ def stored_results(spark: SparkSession, sf: str, name: str) -> tuple[DataFrame,
     return spark.read.schema(results.schema).parquet(f"{base}/resultados"), base
 
 
-def all_results(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """Case results of all messages as one period, stored."""
-    path = scratch_dir(spark, name) + "/resultados"
-    K.case_results(X.interactions(spark, sf), CALC).write.parquet(path)
-    return spark.read.schema(CASE_RESULTS).parquet(path)
+def all_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Case results of all messages as one period."""
+    return K.case_results(X.interactions(spark, sf), CALC)
 
 
 def kept(results: DataFrame) -> DataFrame:
@@ -102,16 +100,9 @@ def master(spark: SparkSession, sf: str) -> DataFrame:
     return A.audit_rows(with_period(period_results(spark, sf)))
 
 
-def period_cases(results: DataFrame) -> DataFrame:
+def period_cases(spark: SparkSession, sf: str) -> DataFrame:
     """The cases tables of the three periods with their period columns."""
-    parts = []
-    for since, until in PERIODS:
-        own = results.where(U.one_of([(since, until)]))
-        table = B.build_cases(kept(own), A.audit_rows(own))
-        parts.append(
-            table.withColumns({"periodo_desde": F.lit(since), "periodo_hasta": F.lit(until)})
-        )
-    return U.union_reports(parts)
+    return B.cases_from_results(period_results(spark, sf), PERIOD_COLS)
 
 
 # --- sources -----------------------------------------------------------------
@@ -221,16 +212,17 @@ def k4_audit_csv(spark, sf):
 @query
 def k5_report_sink(spark, sf):
     base = _stored_reports(spark, sf, "k5")
-    return tables.read_period(spark, base, *SECOND, REPORT)
+    return tables.read_periods(spark, base, REPORT)
 
 
 @query
 def k6_cases_sink(spark, sf):
     results, base = stored_results(spark, sf, "k6")
-    own = of_period(results, SECOND)
-    table = B.build_cases(K.metrics_from_results(own), A.audit_rows(own))
-    tables.write_period(table, base + "/casos", *SECOND, CASES)
-    return tables.read_period(spark, base + "/casos", *SECOND, CASES)
+    for period in PERIODS:
+        own = of_period(results, period)
+        table = B.build_cases(K.metrics_from_results(own), A.audit_rows(own))
+        tables.write_period(table, base + "/casos", *period, CASES)
+    return tables.read_periods(spark, base + "/casos", CASES)
 
 
 @query
@@ -334,6 +326,30 @@ def p12_multimedia(spark, sf):
     return texts(spark, sf).selectExpr("id", f"{T.is_multimedia('texto')} AS multimedia")
 
 
+def _over_texts(name: str, keys: tuple[str, ...]) -> Query:
+    """P6-P8, P11, P12 over every whole text of a given table. The normalised text is
+    returned as its digest and length."""
+
+    def run(spark, sf):
+        rows = spark.read.parquet(f"{sf}/{name}.parquet").selectExpr(*keys, f"{T.normalize('text')} AS texto")
+        return rows.selectExpr(
+            *keys,
+            "md5(texto) AS texto_md5",
+            "CAST(length(texto) AS BIGINT) AS largo",
+            f"{T.contains_any('texto', R.SALES_TERMS)} AS venta",
+            f"{T.contains_any('texto', R.COLLEAGUE_TERMS)} AS colaborador",
+            f"{T.is_call_marker('texto')} AS marcador",
+            f"{T.is_trivial('texto')} AS trivial",
+            f"{T.is_multimedia('texto')} AS multimedia",
+        )
+
+    return run
+
+
+_QUERIES["p_text_predicates_documents"] = _over_texts("documents", ("doc_id",))
+_QUERIES["p_text_predicates_conversations"] = _over_texts("conversations", ("conv_id", "turn"))
+
+
 # --- scalar functions --------------------------------------------------------
 
 TS = "CAST(ts AS TIMESTAMP_NTZ)"
@@ -525,7 +541,7 @@ def a12_general_summary(spark, sf):
 
 @query
 def a13_period_matrix(spark, sf):
-    return A.period_matrix(master(spark, sf))
+    return A.period_matrix(master(spark, sf), names=A.SECTION_NAMES)
 
 
 @query
@@ -560,8 +576,7 @@ def w4_latest_report(spark, sf):
 
 @query
 def w5_first_cases(spark, sf):
-    results, _ = stored_results(spark, sf, "w5")
-    return U.latest_per_case(period_cases(results), U.CASE_TABLES)
+    return U.latest_per_case(period_cases(spark, sf), U.CASE_TABLES)
 
 
 @query
@@ -584,14 +599,12 @@ def o2_final_order(spark, sf):
 
 @query
 def o3_capped_listing(spark, sf):
-    results, _ = stored_results(spark, sf, "o3")
-    return A.all_cases_listing(A.audit_rows(with_period(results)))
+    return A.all_cases_listing(master(spark, sf))
 
 
 @query
 def o4_section_listings(spark, sf):
-    results, _ = stored_results(spark, sf, "o4")
-    return A.section_listings(A.audit_rows(with_period(results)))
+    return A.section_listings(master(spark, sf))
 
 
 # --- set operations ----------------------------------------------------------
@@ -610,8 +623,7 @@ def u1_union_by_name(spark, sf):
 
 @query
 def u2_attended_union(spark, sf):
-    results = all_results(spark, sf, "u2")
-    table = B.build_cases(K.metrics_from_results(results), A.audit_rows(results))
+    table = B.cases_from_results(all_results(spark, sf))
     return table.groupBy("atendido", "categoria_no_atendida").agg(F.count("*").alias("casos"))
 
 
@@ -647,8 +659,7 @@ def c4_build_report(spark, sf):
 
 @query
 def c5_build_cases(spark, sf):
-    results = all_results(spark, sf, "c5")
-    return B.build_cases(K.metrics_from_results(results), A.audit_rows(results))
+    return B.cases_from_results(all_results(spark, sf))
 
 
 @query
@@ -658,15 +669,13 @@ def c6_unify_reports(spark, sf):
 
 @query
 def c6_unify_cases(spark, sf):
-    results, _ = stored_results(spark, sf, "c6")
-    return U.unify(period_cases(results), U.CASE_TABLES)
+    return U.unify(period_cases(spark, sf), U.CASE_TABLES)
 
 
 @query
 def c6_unify_range_no_dedup(spark, sf):
-    results, _ = stored_results(spark, sf, "c6r")
     return U.unify(
-        period_cases(results), U.CASE_TABLES, dt.date(2024, 1, 1), dt.date(2024, 1, 4), dedup=False
+        period_cases(spark, sf), U.CASE_TABLES, dt.date(2024, 1, 1), dt.date(2024, 1, 4), dedup=False
     )
 
 

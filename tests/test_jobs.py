@@ -10,7 +10,9 @@ from chatledger import fixture as X
 from chatledger.operators import audit as A
 from chatledger.operators import unify as U
 from chatledger.plans import period as P
-from chatledger.schemas import AUDIT, CASES, MESSAGES, METRICS, REPORT
+from chatledger.operators.classify import metrics_from_results
+from chatledger.operators.report import build_cases, cases_from_results, not_attended_cases
+from chatledger.schemas import AUDIT, CASE_RESULTS, CASES, MESSAGES, METRICS, REPORT
 from chatledger.sources import audits, jdbc, scratch, tables
 
 PERIODS = [tuple(dt.date.fromisoformat(d) for d in pair) for pair in X.PERIODS]
@@ -148,11 +150,14 @@ def test_named_files(spark, base, tmp_path):
     report.write.parquet(f"{tmp_path}/w")
     part = glob.glob(f"{tmp_path}/w/part-*.parquet")[0]
     os.mkdir(f"{tmp_path}/files")
-    for name in ("reporte_2024-01-01_2024-01-02", "reporte_2024_01_03_2024_01_04", "reporte_unificado", "casos_2024-01-01_2024-01-02"):
+    for name in ("reporte_2024-01-01_2024-01-02", "reporte_2024_01_03_2024_01_04", "reporte_unificado", "reporte_enero", "casos_2024-01-01_2024-01-02"):
         shutil.copy(part, f"{tmp_path}/files/{name}.parquet")
     found = tables.read_named_files(spark, f"{tmp_path}/files", "reporte", REPORT)
-    days = {(r.periodo_desde.day, r.periodo_hasta.day) for r in found.collect()}
-    assert days == {(1, 2), (3, 4)} and found.count() == 22
+    dated = found.where("periodo_desde IS NOT NULL")
+    days = {(r.periodo_desde.day, r.periodo_hasta.day) for r in dated.collect()}
+    assert days == {(1, 2), (3, 4)} and dated.count() == 22
+    # a file without dates counts among all files, but is in no range
+    assert found.count() == 33 and U.select_periods(found, dt.date(2024, 1, 1), dt.date(2024, 1, 9)).count() == 22
 
 
 def test_raw_file_without_id(spark, base, tmp_path):
@@ -163,6 +168,55 @@ def test_raw_file_without_id(spark, base, tmp_path):
     assert [r.id for r in found.orderBy("id").collect()] == list(range(raw.count()))
 
 
+def test_raw_files_without_id(spark, base, tmp_path):
+    raw = tables.read_period(spark, f"{base}/raw", *PERIODS[0], MESSAGES)
+    raw.drop("id").repartition(3).write.parquet(f"{tmp_path}/raw")
+    found = tables.read_named_raw(spark, f"{tmp_path}/raw", MESSAGES)
+    assert found.columns == MESSAGES.names
+    assert [r.id for r in found.orderBy("id").collect()] == list(range(raw.count()))
+    assert sorted(map(str, found.drop("id").collect())) == sorted(map(str, raw.drop("id").collect()))
+
+
+def test_cases_in_one_pass(spark, base):
+    for period in PERIODS:
+        results = tables.read_period(spark, f"{base}/resultados", *period, CASE_RESULTS)
+        wanted = build_cases(metrics_from_results(results), A.audit_rows(results))
+        found = cases_from_results(results)
+        assert found.schema.names == CASES.names
+        assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
+        assert found.where("NOT atendido").count() and found.where("atendido").count()
+
+
+def test_entry_without_date_comes_last(spark):
+    rows = [(7, "", None, None, "casos_solo_inbound"), (7, "2024-01-02 03:04", "x", None, "casos_solo_inbound"),
+            (8, "", "y", None, "casos_solo_inbound")]
+    best = {r.nro_caso: r for r in not_attended_cases(spark.createDataFrame(rows, AUDIT)).collect()}
+    assert best[7].fecha == dt.datetime(2024, 1, 2, 3, 4) and best[7].campania == "x"
+    assert best[8].fecha is None and best[8].campania == "y"
+
+
+def test_without_csv(spark, sf_dir, tmp_path):
+    source = X.source_messages(spark, sf_dir)
+    summary = P.run_period(spark, source, str(tmp_path), *PERIODS[0], calc_ts=X.CALC_TIMES[0], csv=False)
+    P.report_period(spark, str(tmp_path), *PERIODS[0], csv=False)
+    P.unify_tables(spark, str(tmp_path), U.CASE_TABLES, csv=False)
+    assert not [p for p in tmp_path.rglob("*_csv")]
+    assert {r.concepto for r in summary.collect()} >= {"estimado_origen", "total_filas"}
+
+
+def test_job_from_the_shell(spark, sf_dir, tmp_path):
+    import run_job
+
+    X.source_messages(spark, sf_dir).write.parquet(f"{tmp_path}/source")
+    common = ["--base", f"{tmp_path}/out", "--since", "2024-01-01", "--until", "2024-01-02"]
+    run_job.main(["period", "--source", f"{tmp_path}/source", *common], spark)
+    run_job.main(["report", *common], spark)
+    run_job.main(["unify", "--kind", "casos", "--base", f"{tmp_path}/out"], spark)
+    assert spark.read.parquet(f"{tmp_path}/out/unificado/casos").count()
+    with pytest.raises(SystemExit):
+        run_job.main(["report", "--base", f"{tmp_path}/out", "--since", "2024-01-01"], spark)
+
+
 def test_csv_text(spark, tmp_path):
     rows = [(1, 'a "quoted", b', True, dt.datetime(2024, 1, 2, 3, 4, 5)),
             (2, " blank ends ", False, dt.datetime(2024, 1, 2, 3, 4, 5, 120000)), (3, "", None, None)]
@@ -192,7 +246,6 @@ def test_audit_documents(spark, tmp_path):
     assert (first.fecha, first.campania, first.canal) == ("2024-01-02 03:04", "ñ", None)
     assert rows["casos_solo_inbound", 2].fecha == "" and rows["casos_solo_inbound", 3].fecha == ""
 
-    from chatledger.operators.report import not_attended_cases
     best = {r.nro_caso: r for r in not_attended_cases(found).collect()}
     assert {n: r.categoria_no_atendida for n, r in best.items()} == {
         1: "casos_solo_inbound", 2: "casos_solo_inbound", 3: "casos_solo_inbound"}

@@ -161,6 +161,13 @@ def test_summary_and_matrix(spark):
     matrix = {r.periodo: r for r in A.period_matrix(frame, periods).collect()}
     assert len(matrix) == 4 and matrix["2024-03-01 a 2024-03-01"].TOTAL == 0
     assert sum(r.TOTAL for r in matrix.values()) == len(data)
+    # a section that is not a standard one has its column, so rows add up
+    assert sum(r.casos_otros for r in matrix.values()) == counts["casos_otros"] > 0
+    assert all(sum(r[name] for name in (*A.SECTION_NAMES, "casos_otros")) == r.TOTAL for r in matrix.values())
+    long = A.appearances_per_section(frame).agg({"casos": "sum"}).first()[0]
+    assert long == len(data)
+    with pytest.raises(ValueError):
+        A.section_names(frame, most=0)
     per = {r.periodo: r.apariciones for r in A.appearances_per_period(frame, periods).collect()}
     assert per["2024-03-01_2024-03-01"] == 0 and sum(per.values()) == len(data)
 
