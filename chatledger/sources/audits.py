@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatledger.operators.audit import flat_audit
 from chatledger.schemas import AUDIT, AUDIT_MASTER
-from chatledger.sources.tables import exists, write_csv
+from chatledger.sources.tables import exists, replace_partition, write_csv
 
 _CASE = "struct<nro_caso: bigint, fecha: string, campania: string, canal: string>"
 
@@ -73,9 +73,9 @@ def period_dir(base: str, key: str) -> str:
 
 
 def upsert_period(audit: DataFrame, base: str, key: str) -> str:
-    """K8: the audit of a period replaces what the master had for it."""
+    """K8: the audit of a period replaces what the master had for it, once it is whole."""
     path = period_dir(base, key)
-    audit.select(*AUDIT.names).write.mode("overwrite").parquet(path)
+    replace_partition(audit.select(*AUDIT.names), base, {"periodo": key}, path)
     return path
 
 

@@ -1,9 +1,10 @@
 """Period tables on a file system.
 
-A table is a directory partitioned by ``periodo_desde`` / ``periodo_hasta``. A
-period is always written to its own leaf directory in overwrite mode, so that a
-re-run replaces it even when the new result is empty (dynamic partition overwrite
-would keep the old rows). Readers declare the schema, so empty periods read well.
+A table is a directory partitioned by ``periodo_desde`` / ``periodo_hasta``. A period
+is replaced by dynamic partition overwrite: the new files are staged, and the old ones
+go when the job commits, so a failed job leaves the period as it was. That keeps old
+rows when there are no new ones, so an empty result is then written as an empty leaf.
+Readers declare the schema, so empty periods read well.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +28,22 @@ def period_path(base: str, since: dt.date, until: dt.date) -> str:
     return f"{base}/periodo_desde={since.isoformat()}/periodo_hasta={until.isoformat()}"
 
 
+def replace_partition(table: DataFrame, base: str, values: dict[str, object], path: str) -> None:
+    """Replace one partition, ``path``, of the table at ``base``. The rows written are
+    counted on the way, nothing is computed twice."""
+    written = Observation()
+    rows = table.observe(written, F.count(F.lit(1)).alias("filas"))
+    (
+        rows.withColumns({name: F.lit(value) for name, value in values.items()})
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*values)
+        .parquet(base)
+    )
+    if not written.get["filas"]:
+        table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(path)
+
+
 def write_period(
     table: DataFrame, base: str, since: dt.date, until: dt.date, schema: T.StructType | None = None
 ) -> str:
@@ -34,7 +51,7 @@ def write_period(
     path = period_path(base, since, until)
     if schema is not None:
         table = table.select(*[F.col(f"`{n}`") for n in schema.names])
-    table.write.mode("overwrite").parquet(path)
+    replace_partition(table, base, {"periodo_desde": since, "periodo_hasta": until}, path)
     return path
 
 
@@ -60,9 +77,12 @@ def read_period(
 ) -> DataFrame:
     """One period; an error when it was never written."""
     path = period_path(base, since, until)
-    if not exists(spark, path):
-        raise FileNotFoundError(f"period not written yet: {path}")
-    return spark.read.schema(schema).parquet(path)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"period not written yet: {path}") from error
+        raise
 
 
 def read_periods(spark: SparkSession, base: str, schema: T.StructType | None = None) -> DataFrame:

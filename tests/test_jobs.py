@@ -144,6 +144,21 @@ def test_missing_columns_become_null(spark):
     assert U.latest_per_case(merged, U.REPORTS).count() == 2  # no calculation time, no periods
 
 
+def test_failed_write_keeps_the_old_rows(spark, base, tmp_path):
+    raw = tables.read_period(spark, f"{base}/raw", *PERIODS[0], MESSAGES)
+    tables.write_period(raw, f"{tmp_path}/raw", *PERIODS[0], MESSAGES)
+    audit = audits.read_master(spark, f"{base}/auditoria_general")
+    audits.upsert_period(audit, f"{tmp_path}/general", "a_b")
+    fails = F.when(F.col("nro_caso") % 7 == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("canal"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_period(raw.withColumn("canal", fails), f"{tmp_path}/raw", *PERIODS[0], MESSAGES)
+    with pytest.raises(Exception, match="lost"):
+        audits.upsert_period(audit.withColumn("canal", fails), f"{tmp_path}/general", "a_b")
+    kept = tables.read_period(spark, f"{tmp_path}/raw", *PERIODS[0], MESSAGES)
+    assert kept.exceptAll(raw).isEmpty() and kept.count() == raw.count()
+    assert audits.read_master(spark, f"{tmp_path}/general").count() == audit.count()
+
+
 def test_named_files(spark, base, tmp_path):
     report = tables.read_period(spark, f"{base}/reporte", *PERIODS[0], REPORT).coalesce(1)
     import glob, os, shutil
