@@ -176,8 +176,8 @@ def unify_tables(
     dedup: bool = True,
     csv: bool = True,
 ) -> DataFrame:
-    """C6 with its sink (K7): the unified table, stored as sorted Parquet files and CSV
-    copies of them (each sorted; the Parquet files hold the order of the whole). A selection that holds no rows is refused, and the stored table stays as it is."""
+    """C6 with its sink (K7): the unified table, stored sorted as Parquet and, if wanted,
+    CSV; that costs a second sort, as files read back keep no order. A selection that holds no rows is refused, and the stored table stays as it is."""
     to = Folders(base)
     source, schema = (
         (to.reports, REPORT) if kind.name == U.REPORTS.name else (to.cases, CASES)
@@ -193,5 +193,5 @@ def unify_tables(
     tables.write_table(table, path)
     stored = spark.read.schema(schema).parquet(path)
     if csv:
-        tables.write_csv(stored, csv_path)
+        tables.write_csv(U.sort_unified(stored, kind), csv_path)
     return stored
