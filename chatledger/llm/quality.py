@@ -162,9 +162,8 @@ def train(
         return [{"index": i, "value": v.astype(np.float32)} for i, v in made]
 
     make = per_text(run, "index array<int>, value array<float>")
-    first = df.join(F.broadcast(chosen), F.col(key) == F.col("id")).groupBy("id").agg(
-        F.min("label").alias("label"), F.min(text).alias("text")
-    )
+    texts = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    first = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("label").alias("label"), F.min("text").alias("text"))
     got = first.select("id", "label", make("text").alias("x")).select("id", "label", "x.*").toArrow().sort_by("id")
     rows = [
         (np.array(i, dtype=np.int64), np.array(v, dtype=np.float64))

@@ -1,6 +1,8 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
+
 from chatledger.llm import quality as Q
 
 
@@ -67,3 +69,16 @@ def test_odd_rows(odd_documents, spark):
     assert kept.columns == odd_documents.columns
     assert kept.count() == sum(r.predicted for r in got)
     assert Q.classify(odd_documents.limit(0), labels).count() == 0
+
+
+def test_clashing_names(documents, spark, sf_dir):
+    """Columns of documents and labels that are named as the operator names its own."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    extra = [F.lit("z").alias(name) for name in ("id", "label", "index", "value", "quality", "predicted")]
+    docs = documents.select("*", *extra)
+    known = labels.select("*", *[F.lit("z").alias(name) for name in ("id", "label", "text")])
+    want = {r.doc_id: r.score for r in Q.classify(documents, labels).collect()}
+    assert {r.doc_id: r.score for r in Q.classify(docs, known).collect()} == want
+    kept = Q.keep_good(docs, known)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(s >= 0.3 for s in want.values())
