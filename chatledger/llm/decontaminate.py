@@ -1,17 +1,23 @@
 """Benchmark decontamination by q-gram counting in diagonal bands.
 
-Texts are lower-cased and each run of blanks counts as one. A benchmark item is cut into
-overlapping passages of ``PASSAGE`` characters (a shorter item is one passage); a document
-holds a passage if a stretch of it is within ``m // EDIT_EVERY`` edits of the passage's m
-characters. By the q-gram lemma such a stretch shares at least m - Q + 1 - Q * edits
-character q-grams with the passage, and all of them lie on diagonals (position in the
-document less position in the passage) at most ``edits`` from the first. So:
+Texts are lower-cased and each run of blanks counts as one. The passages of a benchmark
+item are its stretches of ``PASSAGE`` characters, one from every ``STRIDE`` = 1 character
+(a shorter item is one passage); a document holds a passage if a stretch of it is within
+``m // EDIT_EVERY`` edits of the passage's m characters. By the q-gram lemma such a stretch
+shares at least m - Q + 1 - Q * edits character q-grams with the passage, and all of them
+lie on diagonals (position in the document less position in the item) at most ``edits``
+from the first. So:
 
 1. positions whose q-gram is in the benchmark are marked by one bitmap probe each, and
    only stretches with enough marks in a row of m + edits characters go on;
-2. there, shared q-grams are counted per passage in bands of diagonals that overlap by
-   half, so that every range of 2 * edits + 1 diagonals lies whole in some band;
-3. bands with enough q-grams are verified by banded alignment.
+2. there, shared q-grams are collected per item in bands of diagonals that overlap by
+   half, so that every range of 2 * edits + 1 diagonals lies whole in some band, and a
+   passage goes on if enough of a band's q-grams begin in it;
+3. of each ``CORE_OF`` neighbouring passages, what all of them share is aligned first: if
+   that needs more edits than a passage may have, none of them is held. The passages of
+   the others are verified by banded alignment one by one.
+
+An item is indexed in pieces of at most ``PIECE`` passages, one entry for each character.
 
 The bitmap and the count only rule out; nothing that qualifies is lost. Documents are never
 shuffled: the benchmark's index is broadcast, in blocks of at most ``BLOCK_CHARS``
@@ -35,12 +41,15 @@ from pyspark.sql import functions as F
 
 from chatledger.llm.common import per_text
 
-PASSAGE, STRIDE, EDIT_EVERY, Q, LEAST = 60, 30, 12, 8, 24
+PASSAGE, STRIDE, EDIT_EVERY, Q, LEAST = 60, 1, 12, 8, 24
+PIECE, CORE_OF = 4096, 8
 BLOCK_CHARS = 2_000_000
 _BITS = 20
 _WINDOW = 1 << 16
 #: Bands aligned together; what no text contains.
 _ALIGNED, _OUTSIDE = 4096, 0xFFFFFFFF
+#: More than a band can stand out of a text.
+_MARGIN = 512
 _FACTOR = 0x9E3779B97F4A7C15
 _POWERS = [pow(_FACTOR, n, 1 << 64) for n in (1, 2, 4)]
 _BLANKS = np.array([9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x2028, 0x2029, 0x3000], dtype=np.uint32)
@@ -107,47 +116,51 @@ def aligned(patterns: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.n
     return row[np.arange(pairs), best], best + m
 
 
-def _cut(codes: np.ndarray, start: int, size: int) -> np.ndarray:
-    """Characters ``start`` to ``start + size``; what lies outside the text equals nothing."""
-    out = np.full(size, _OUTSIDE, dtype=np.uint32)
-    low, high = max(0, start), min(len(codes), start + size)
-    if low < high:
-        out[low - start : high - start] = codes[low:high]
-    return out
+def _cuts(codes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """``size`` characters from each of the starts."""
+    return codes[starts[:, None] + np.arange(size)]
 
 
 class Index:
     """Passages of some benchmark rows and where their q-grams are."""
 
     def __init__(self, items: list[tuple]):
-        self.passages: list[tuple[object, np.ndarray]] = []
-        hashes, entries = [], []
+        pieces, owners, hashes, entries, sizes, starts = [], [], [], [], [], []
         for item, text in items:
             codes, _ = normalised((text or "").strip())
             if len(codes) < LEAST:
                 continue
-            last = max(0, len(codes) - PASSAGE)
-            for start in sorted({*range(0, last + 1, STRIDE), last}):
-                part = codes[start : start + PASSAGE]
+            m = min(PASSAGE, len(codes))
+            for low in range(0, len(codes) - m + 1, PIECE):
+                part = codes[low : low + PIECE + m - 1]
                 grams = _hashes(part)
                 hashes.append(grams)
-                entries += [(len(self.passages), o) for o in range(len(grams))]
-                self.passages.append((item, part))
+                entries.append(np.stack([np.full(len(grams), len(pieces)), np.arange(len(grams))], axis=1))
+                pieces.append(part)
+                owners.append(item)
+                sizes.append(m)
+                starts.append(len(part) - m + 1)
         flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(flat, kind="stable")
-        self.entries = np.array(entries, dtype=np.int64).reshape(-1, 2)[order]
+        self.entries = np.concatenate(entries)[order] if entries else np.zeros((0, 2), dtype=np.int64)
+        #: of each piece: whose it is, the size of its passages, how many, the number of the first
+        self.owners = owners
+        self.sizes = np.array(sizes, dtype=np.int64)
+        self.starts = np.array(starts, dtype=np.int64)
+        self.numbers = np.cumsum(self.starts) - self.starts
+        self.codes = np.concatenate(pieces) if pieces else np.zeros(0, np.uint32)
+        self.places = np.cumsum([0, *map(len, pieces)])[:-1]
         self.grams, first = np.unique(flat[order], return_index=True)
         self.first = np.append(first, len(flat))
         self.bitmap = np.zeros(1 << _BITS, dtype=bool)
         self.bitmap[_slot(self.grams)] = True
-        sizes = np.array([len(p) for _, p in self.passages], dtype=np.int64)
-        self.needed = np.array([shared_needed(m) for m in sizes], dtype=np.int64)
-        self.edits = np.array([edits_allowed(m) for m in sizes], dtype=np.int64)
+        self.needed = shared_needed(self.sizes)
+        self.edits = edits_allowed(self.sizes)
         # for whole passages and for shorter ones: the longest row of q-grams, the least shared
         self.tests = []
-        for some in (sizes == PASSAGE, sizes < PASSAGE):
+        for some in (self.sizes == PASSAGE, self.sizes < PASSAGE):
             if some.any():
-                self.tests.append((int((sizes + self.edits)[some].max()) - Q + 1, int(self.needed[some].min())))
+                self.tests.append((int((self.sizes + self.edits)[some].max()) - Q + 1, int(self.needed[some].min())))
         self.reach = PASSAGE + PASSAGE // EDIT_EVERY + Q
 
     def stretches(self, marked: np.ndarray) -> np.ndarray:
@@ -176,7 +189,8 @@ class Index:
                 self._window(codes, low, min(len(codes), low + _WINDOW + 2 * self.reach))
                 for low in range(0, max(1, len(codes) - self.reach), _WINDOW)
             ]
-            chosen = np.unique(np.concatenate(found), axis=0)
+            keys = np.unique(np.concatenate([f[:, 0] << 32 | f[:, 1] + _MARGIN for f in found]))
+            chosen = np.stack([keys >> 32, (keys & 0xFFFFFFFF) - _MARGIN], axis=1)
             if len(chosen):
                 waiting.append((number, codes, at, chosen))
                 size += len(chosen) + len(codes) // 100
@@ -206,49 +220,89 @@ class Index:
     def _bands(self, positions: np.ndarray, rank: np.ndarray, sizes: np.ndarray, low: int) -> np.ndarray:
         total = int(sizes.sum())
         offset = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        passage, inner = self.entries[np.repeat(self.first[rank], sizes) + offset].T
-        diagonal = np.repeat(positions, sizes) - inner + PASSAGE  # never negative
-        band = diagonal // (2 * self.edits[passage] + 1)
-        keys = np.concatenate([passage << 32 | band + 1, passage << 32 | band])  # band b: diagonals of b-1 and b
+        piece, inner = self.entries[np.repeat(self.first[rank], sizes) + offset].T
+        longest = PIECE + PASSAGE
+        diagonal = np.repeat(positions, sizes) - inner + longest  # never negative
+        band = diagonal // (2 * self.edits[piece] + 1)
+        # band b: diagonals of b-1 and b
+        keys = np.concatenate([piece << 36 | band + 1 << 14 | inner, piece << 36 | band << 14 | inner])
         keys.sort()
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
-        counts = np.diff(np.append(first, len(keys)))
-        keys = keys[first]
-        keys = keys[counts >= self.needed[keys >> 32]]
-        passage, band = keys >> 32, keys & 0xFFFFFFFF
-        edits = self.edits[passage]
-        return np.stack([passage, low - PASSAGE + (band - 1) * (2 * edits + 1) - edits], axis=1)
+        group, inner = keys >> 14, keys & 0x3FFF
+        piece = group >> 22
+        # from each q-gram to the one that makes enough: the passages that hold both
+        until = np.arange(len(keys)) + self.needed[piece] - 1
+        fits = until < len(keys)
+        until = np.minimum(until, len(keys) - 1)
+        begin = np.maximum(inner[until] - (self.sizes[piece] - Q), 0)
+        end = np.minimum(inner, self.starts[piece] - 1) + 1
+        some = np.flatnonzero(fits & (group[until] == group) & (begin < end))
+        group, begin, end = group[some], begin[some], end[some]
+        again = np.flatnonzero(group[1:] == group[:-1]) + 1
+        begin[again] = np.maximum(begin[again], end[again - 1])  # ends never fall within a band
+        count = np.maximum(end - begin, 0)
+        start = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count - begin, count)
+        piece, band = np.repeat(group >> 22, count), np.repeat(group & 0x3FFFFF, count)
+        edits = self.edits[piece]
+        return np.stack([self.numbers[piece] + start, low - longest + (band - 1) * (2 * edits + 1) - edits + start], axis=1)
+
+    def _aligned(self, codes: np.ndarray, place: np.ndarray, m: int, first: np.ndarray, edits: int):
+        """Alignment of the m characters of the benchmark at each place with a band of the
+        codes: the least edits, and where that stretch ends."""
+        width = 2 * (2 * edits + 1) + 2 * edits
+        cost, ends = aligned(_cuts(self.codes, place, m), _cuts(codes, first, width + m))
+        return cost, ends + first
+
+    def _cored(self, codes: np.ndarray, place: np.ndarray, lead: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Which of the whole passages stay when neighbours, on the same diagonals, are
+        tested by what they share; ``lead`` is how far each is from the first of them."""
+        keys, which = np.unique((place - lead) << 32 | first - lead, return_inverse=True)
+        fine = np.zeros(len(keys), dtype=bool)
+        m, shift = PASSAGE - CORE_OF + 1, CORE_OF - 1
+        for low in range(0, len(keys), _ALIGNED):
+            some = keys[low : low + _ALIGNED]
+            cost, _ = self._aligned(codes, (some >> 32) + shift, m, (some & 0xFFFFFFFF) + shift, edits_allowed(PASSAGE))
+            fine[low : low + _ALIGNED] = cost <= edits_allowed(PASSAGE)
+        return fine[which]
 
     def _verify(self, waiting: list[tuple], out: list[list[dict]]) -> None:
         """Align the chosen bands of some texts, those of one passage length together."""
         if not waiting:
             return
+        # the texts in one, with margins that equal nothing
+        margin = np.full(_MARGIN, _OUTSIDE, dtype=np.uint32)
+        codes = np.concatenate([margin, *(c for w in waiting for c in (w[1], margin))])
+        bases = np.cumsum([_MARGIN] + [len(w[1]) + _MARGIN for w in waiting])[:-1]
         text = np.repeat(np.arange(len(waiting)), [len(w[3]) for w in waiting])
         passage, first = np.concatenate([w[3] for w in waiting]).T
-        sizes = np.array([len(p) for _, p in self.passages])[passage]
+        first = first + bases[text]
+        piece = np.searchsorted(self.numbers, passage, "right") - 1
+        start = passage - self.numbers[piece]
+        place = self.places[piece] + start
+        sizes = self.sizes[piece]
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for m in np.unique(sizes).tolist():
             e = edits_allowed(m)
             rows = np.flatnonzero(sizes == m)
-            for some in np.array_split(rows, math.ceil(len(rows) / _ALIGNED)):
-                patterns = np.stack([self.passages[p][1] for p in passage[some].tolist()])
-                width = 2 * (2 * e + 1) + 2 * e
-                starts = list(zip(text[some].tolist(), first[some].tolist()))
-                cost, ends = aligned(patterns, np.stack([_cut(waiting[t][1], f, width + m) for t, f in starts]))
+            if m == PASSAGE:
+                rows = rows[self._cored(codes, place[rows], start[rows] % CORE_OF, first[rows])]
+            for low in range(0, len(rows), _ALIGNED):
+                some = rows[low : low + _ALIGNED]
+                cost, ends = self._aligned(codes, place[some], m, first[some], e)
                 fine = np.flatnonzero(cost <= e)
                 if not len(fine):
                     continue
                 # from the end backwards, for the start
-                stops = [(starts[k][0], starts[k][1] + int(ends[k])) for k in fine.tolist()]
-                back = np.stack([_cut(waiting[t][1], end - e - m - 1, 2 * e + 1 + m)[::-1] for t, end in stops])
-                _, lengths = aligned(patterns[fine, ::-1], back)
-                for k, (t, end), length in zip(fine.tolist(), stops, lengths.tolist()):
-                    key = t, int(passage[some[k]])
-                    begin, end = max(0, end + e - length), min(len(waiting[t][1]), end)
-                    best[key] = min(best.get(key, (m, 0, 0)), (int(cost[k]), min(begin, end - 1), end))
+                some, cost, ends = some[fine], cost[fine], ends[fine]
+                back = _cuts(codes, ends - e - m - 1, 2 * e + 1 + m)[:, ::-1]
+                _, lengths = aligned(_cuts(self.codes, place[some], m)[:, ::-1], back)
+                begins, ends = ends + e - lengths - bases[text[some]], ends - bases[text[some]]
+                for t, p, c, begin, end in zip(*(x.tolist() for x in (text[some], passage[some], cost, begins, ends))):
+                    begin, end = max(0, begin), min(len(waiting[t][1]), end)
+                    best[t, p] = min(best.get((t, p), (m, 0, 0)), (c, min(begin, end - 1), end))
         found: dict[tuple[int, int], list] = defaultdict(list)
         for (t, p), hit in sorted(best.items()):
-            found[t, id(self.passages[p][0])].append((self.passages[p][0], *hit))
+            item = self.owners[int(np.searchsorted(self.numbers, p, "right")) - 1]
+            found[t, id(item)].append((item, *hit))
         for (t, _), hits in found.items():
             number, _, at, _ = waiting[t]
             out[number].append(

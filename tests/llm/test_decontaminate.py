@@ -113,3 +113,51 @@ def test_odd_rows(odd_documents, spark, monkeypatch):
     assert D.contaminated(odd_documents, benchmark.limit(0)).count() == 0
     assert D.contaminated(odd_documents.limit(0), benchmark).count() == 0
     assert D.keep_clean(odd_documents, benchmark.limit(0)).count() == odd_documents.count()
+
+
+@pytest.mark.parametrize("size", [60, 65, 70, 78])
+def test_excerpts_at_every_offset(size):
+    """A verbatim excerpt of a passage's length counts wherever it begins."""
+    rnd = random.Random(size)
+    items = [words(rnd, 40) for _ in range(6)]
+    index = D.Index([([i], t) for i, t in enumerate(items)])
+    texts, want = [], []
+    for i, item in enumerate(items):
+        for a in range(len(item.strip()) - size + 1):
+            texts.append(f"{words(rnd, 20)} # {item.strip()[a : a + size]} # {words(rnd, 20)}")
+            want.append(i)
+    assert all(i in {h["item"][0] for h in hits} for i, hits in zip(want, index.find(texts)))
+
+
+def held(text, item):
+    """Whether any window of the item is in the text within its edits: ``edits`` row by
+    row, for all windows at once."""
+    code, whole = D.normalised(item.strip())[0], D.normalised(text)[0]
+    m = min(60, len(code))
+    windows = np.lib.stride_tricks.sliding_window_view(code, m)
+    steps = np.arange(len(whole) + 1)
+    rows = np.zeros((len(windows), len(whole) + 1), dtype=np.int64)
+    for i in range(m):
+        after = rows + 1
+        after[:, 1:] = np.minimum(after[:, 1:], rows[:, :-1] + (whole != windows[:, i : i + 1]))
+        rows = np.minimum.accumulate(after - steps, axis=1) + steps
+    return len(code) >= 24 and bool(rows.min() <= m // 12)
+
+
+@pytest.mark.parametrize("piece", [17, D.PIECE])
+def test_changed_excerpts_against_all_windows(monkeypatch, piece):
+    """Against every window of every item, also over the borders of pieces and neighbours."""
+    monkeypatch.setattr(D, "PIECE", piece)
+    rnd = random.Random(21)
+    items = [words(rnd, rnd.randint(2, 30)) for _ in range(6)]
+    index = D.Index([([i], t) for i, t in enumerate(items)])
+    seen = [0, 0]
+    for _ in range(100):
+        part = rnd.choice(items)
+        a = rnd.randrange(max(1, len(part) - 75))
+        part = changed(rnd, part[a : a + rnd.randint(56, 75)], rnd.randint(0, 9))
+        text = words(rnd, 8) + " " + part + " " + words(rnd, 8)
+        want = {i for i, t in enumerate(items) if held(text, t)}
+        assert {h["item"][0] for h in index.find([text])[0]} == want
+        seen[bool(want)] += 1
+    assert min(seen) > 10
