@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatledger.llm import (
+    alignment,
     decontaminate,
     mixing,
     quality,
@@ -70,6 +71,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align_tokens(table(spark, sf_dir, "documents"), *paths)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,7 +87,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_secret_scan, op2_url_filter, op3_simhash, op4_quality, op5_decontamination,
-        op6_top_k, op7_warc, op8_sharding, op9_token_counts, op10_mixing, pipeline,
+        op6_top_k, op7_warc, op8_sharding, op9_token_counts, op10_mixing,
+        op11_alignment, pipeline,
     )
     return {f.__name__: f for f in named}
 
