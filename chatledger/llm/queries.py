@@ -11,6 +11,7 @@ from chatledger.llm import (
     alignment,
     decontaminate,
     mixing,
+    prefix_trie,
     quality,
     secrets,
     sharding,
@@ -78,6 +79,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokens(table(spark, sf_dir, "documents"), *paths)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,7 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_secret_scan, op2_url_filter, op3_simhash, op4_quality, op5_decontamination,
         op6_top_k, op7_warc, op8_sharding, op9_token_counts, op10_mixing,
-        op11_alignment, pipeline,
+        op11_alignment, op12_prefix_trie, pipeline,
     )
     return {f.__name__: f for f in named}
 
@@ -141,6 +146,44 @@ ORACLE_SQL = {
                    regexp_extract(url, '(?s)^.*?://[^/?#]*(.*)$', 1), '') AS url_key,
                strftime(make_timestamp((1704067200 + page_id % 1000000000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured_at
         FROM sized""",
+    "op12_prefix_trie": """
+        WITH bytes AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, range(8)),
+                lambda c, i: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS crc),
+        own AS (
+            SELECT conv_id AS c, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (
+            SELECT DISTINCT c, c - c % 100 AS base, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda a: ascii(a)::BIGINT)),
+                lambda s, b: xor(crc[(xor(s, b) & 255) + 1], s // 256))) % 6 AS h
+            FROM own, bytes),
+        rebuilt AS (
+            SELECT v.c, 0 AS part, o.pos, o.x FROM convs v JOIN own o ON o.c = v.base AND o.pos <= v.h
+            UNION ALL SELECT v.c, 1, o.pos, o.x FROM convs v JOIN own o ON o.c = v.c AND o.pos > v.h),
+        paths AS (
+            SELECT c, row_number() OVER w AS d, list(x) OVER w AS path FROM rebuilt
+            WINDOW w AS (PARTITION BY c ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+            UNION ALL SELECT c, 0, [] FROM convs),
+        lasts AS (SELECT c, max(d) AS last FROM paths GROUP BY c),
+        nodes AS (
+            SELECT path, d, min(c) AS c, count(*) AS n, any_value(CASE WHEN d > 0 THEN length(path[d].t) ELSE 0 END) AS size,
+                   coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE last = d), '') AS ended
+            FROM paths p JOIN lasts e USING (c) GROUP BY path, d),
+        kids AS (
+            SELECT parent.c, parent.d, count(*) AS n FROM nodes child JOIN paths up ON up.c = child.c AND up.d = child.d - 1
+            JOIN nodes parent ON parent.d = up.d AND parent.path = up.path GROUP BY ALL),
+        under AS (
+            SELECT top.c, top.d, count(*) FILTER (WHERE k.n IS NULL) AS leaves, sum((b.n - 1) * b.size) AS saved
+            FROM nodes b LEFT JOIN kids k ON k.c = b.c AND k.d = b.d
+            JOIN paths up ON up.c = b.c AND up.d <= b.d JOIN nodes top ON top.d = up.d AND top.path = up.path
+            GROUP BY ALL)
+        SELECT a.c AS conv_id, a.d AS depth, parent.c AS parent_conv_id, a.n AS n_convs, coalesce(k.n, 0) AS n_children,
+               u.leaves AS n_leaves, u.saved::BIGINT AS saved_tokens, sha256(a.ended) AS ends_sha256
+        FROM nodes a LEFT JOIN kids k ON k.c = a.c AND k.d = a.d JOIN under u ON u.c = a.c AND u.d = a.d
+        LEFT JOIN paths up ON up.c = a.c AND up.d = a.d - 1
+        LEFT JOIN nodes parent ON parent.d = up.d AND parent.path = up.path""",
 }
 
 
