@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chatledger.llm import (
     alignment,
     decontaminate,
+    learned_partitions,
     mixing,
     prefix_trie,
     quality,
@@ -83,6 +84,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return learned_partitions.search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,7 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_secret_scan, op2_url_filter, op3_simhash, op4_quality, op5_decontamination,
         op6_top_k, op7_warc, op8_sharding, op9_token_counts, op10_mixing,
-        op11_alignment, op12_prefix_trie, pipeline,
+        op11_alignment, op12_prefix_trie, op13_ann, pipeline,
     )
     return {f.__name__: f for f in named}
 
