@@ -18,6 +18,12 @@ different hours, so comparing the end of one used hour with the start of the
 next finds every one. And the first reply after the first inbound message lies
 either in the hour of that message (kept apart by ``hours``) or is the first
 reply of a later hour.
+
+Buffers of the aggregations hold numbers and times only, so that Spark aggregates by
+hashing, without sorting the messages. What would be text in them stands as a code of 64
+bits: the channel and campaign of a row, its user, the client's text. The row that a label
+comes from is found by its time and id, and ``labels`` gives back the texts of the codes
+once per case.
 """
 
 from __future__ import annotations
@@ -30,6 +36,7 @@ from pyspark.sql import functions as F
 from chatledger.functions import text as X
 from chatledger.functions.calendar import hour_number
 from chatledger.functions.numbers import micros_between
+from chatledger.functions.text import quoted
 from chatledger.rules import DEFAULT_RULES, Rules
 
 CASE = ("nro_caso",)
@@ -46,17 +53,26 @@ def _aggregates(expressions: dict[str, str]) -> list[Column]:
     return [F.expr(f"{sql} AS {name}") for name, sql in expressions.items()]
 
 
-def collapse_copies(rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row per distinct ``key`` (nulls are equal) with the number of
-    copies and the id, channel and campaign of the first copy."""
-    return rows.groupBy(*key).agg(
-        *_aggregates({"copias": "count(*)", "primero": "min(struct(id, canal, campania))"})
-    )
+def _code(*columns: str) -> str:
+    """A number for the values of the columns; nulls are values of their own."""
+    return f"xxhash64({', '.join(f'{c} IS NULL, coalesce({c}, {quoted(str())})' for c in columns)})"
+
+
+LABELS, USER = _code("canal", "campania"), _code("usuario")
+# rows without id come first
+ORDER = f"coalesce(id, {-(2**63) + 1} - 1L)"
 
 
 def drop_exact_copies(messages: DataFrame) -> DataFrame:
-    """W1 on whole messages: the first of equal messages of a case survives."""
-    unique = collapse_copies(messages, (*CASE, *COPY_KEY))
+    """W1 on whole messages: the first of equal messages of a case survives. Whole texts are
+    neither compared nor part of the shuffle's key, their digests are."""
+    key = ("nro_caso", "fecha_creacion", "direccionamiento", "usuario")
+    first = "min(struct(id, canal, campania))"
+    unique = (
+        messages.withColumn("texto", F.expr(_digest("contenido")))
+        .groupBy(*key, "texto")
+        .agg(*_aggregates({"copias": "count(*)", "primero": first, "contenido": "any_value(contenido)"}))
+    )
     return unique.select(
         "primero.id", "nro_caso", "fecha_creacion", "direccionamiento", "usuario",
         "primero.canal", "primero.campania", "contenido", "copias",
@@ -85,7 +101,9 @@ def marked_messages(
         f"{X.contains_any('texto', rules.colleague_terms)} AS colaborador",
         f"CASE WHEN direccionamiento = 'INBOUND' AND texto <> '' THEN {_digest('texto')} END"
         " AS texto_cliente",
-        "id", "canal", "campania",
+        f"{ORDER} AS orden",
+        f"{LABELS} AS etiqueta",
+        f"{USER} AS persona",
     )
 
 
@@ -95,9 +113,10 @@ def unique_messages(
     """W1 with the flags carried along; they follow from the message key. The speaker
     stands for the direction: only a client writes inbound."""
     key = ("fecha_creacion", "rol", "usuario", "contenido")
-    flags = ("marcador", "trivial", "multimedia", "venta", "colaborador", "texto_cliente")
+    flags = ("marcador", "trivial", "multimedia", "venta", "colaborador", "texto_cliente", "persona")
     marked = marked_messages(messages, rules, keys)
-    return collapse_copies(marked, (*keys, "hora", *key, *flags))
+    first = {"copias": "count(*)", "orden": "min(orden)", "etiqueta": "min_by(etiqueta, orden)"}
+    return marked.groupBy(*keys, "hora", *key, *flags).agg(*_aggregates(first))
 
 
 def instants(
@@ -118,12 +137,12 @@ def instants(
         "venta": f"bool_or({chat} AND venta)",
         "colaborador": f"bool_or({chat} AND colaborador)",
         "textos": f"count(CASE WHEN {chat} THEN texto_cliente END)",
-        "texto_min": f"min(CASE WHEN {chat} THEN texto_cliente END)",
-        "texto_max": f"max(CASE WHEN {chat} THEN texto_cliente END)",
-        "primero": "min(primero)",
-        "primero_chat": f"min(CASE WHEN {chat} THEN primero END)",
-        "primer_humano": f"min(CASE WHEN {chat} AND rol = 'humano'"
-        " THEN struct(primero.id AS id, usuario) END)",
+        # 128 bits of the digest; texts are equal where both numbers are
+        **{f"texto_min_{i}": f"min(CASE WHEN {chat} AND texto_cliente IS NOT NULL THEN xxhash64({i}, texto_cliente) END)" for i in (1, 2)},
+        **{f"texto_max_{i}": f"max(CASE WHEN {chat} AND texto_cliente IS NOT NULL THEN xxhash64({i}, texto_cliente) END)" for i in (1, 2)},
+        "etiqueta": "min_by(etiqueta, orden)",
+        "etiqueta_chat": f"min_by(etiqueta, CASE WHEN {chat} THEN orden END)",
+        "persona": f"min_by(persona, CASE WHEN {chat} AND rol = 'humano' THEN orden END)",
     }
     unique = unique_messages(messages, rules, keys)
     return unique.groupBy(*keys, "hora", "fecha_creacion").agg(*_aggregates(expressions))
@@ -135,7 +154,7 @@ _TOTALS = {
     for name in ("duplicados", "total", "cliente", "bot", "humano", "multimedia", "textos")
 } | {
     name: f"bool_or({name})" for name in ("dup_sustantivo", "hubo_llamada", "venta", "colaborador")
-} | {"texto_min": "min(texto_min)", "texto_max": "max(texto_max)"}
+} | {name: f"{name[6:9]}({name})" for name in ("texto_min_1", "texto_max_1", "texto_min_2", "texto_max_2")}
 
 
 def hours(instant_rows: DataFrame, keys: Sequence[str] = CASE) -> DataFrame:
@@ -147,15 +166,20 @@ def hours(instant_rows: DataFrame, keys: Sequence[str] = CASE) -> DataFrame:
         " AS cliente_hora",
     )
     answered = "fecha_creacion >= cliente_hora"
-    human = "struct(fecha_creacion AS fecha, primer_humano.id AS id, primer_humano.usuario AS usuario)"
+    chat, human = ("CASE WHEN %s > 0 THEN fecha_creacion END" % n for n in ("total", "humano"))
+    reply = f"CASE WHEN humano > 0 AND {answered} THEN fecha_creacion END"
+    # an instant is one row, so its time alone tells which row comes first
     expressions = _TOTALS | {
-        "primera": "min(struct(fecha_creacion AS fecha, primero))",
-        "primera_chat": "min(CASE WHEN total > 0"
-        " THEN struct(fecha_creacion AS fecha, primero_chat) END)",
-        "ultima": "max(CASE WHEN total > 0 THEN fecha_creacion END)",
+        "primera": "min(fecha_creacion)",
+        "etiqueta": "min_by(etiqueta, fecha_creacion)",
+        "primera_chat": f"min({chat})",
+        "etiqueta_chat": f"min_by(etiqueta_chat, {chat})",
+        "ultima": f"max({chat})",
         "primer_cliente": "min(cliente_hora)",
-        "humano_hora": f"min(CASE WHEN humano > 0 THEN {human} END)",
-        "humano_tras_cliente": f"min(CASE WHEN humano > 0 AND {answered} THEN {human} END)",
+        "humano_hora": f"min({human})",
+        "persona_hora": f"min_by(persona, {human})",
+        "humano_tras_cliente": f"min({reply})",
+        "persona_tras_cliente": f"min_by(persona, {reply})",
         "bot_hora": "min(CASE WHEN bot > 0 THEN fecha_creacion END)",
         "bot_tras_cliente": f"min(CASE WHEN bot > 0 AND {answered} THEN fecha_creacion END)",
     }
@@ -176,38 +200,36 @@ def cases(
 
     def reply(same_hour: str, any_time: str) -> str:
         return (
-            f"min(CASE WHEN primer_cliente = t0 THEN {same_hour}"
-            f" WHEN hora > {hour_number('t0')} THEN {any_time} END)"
+            f"CASE WHEN primer_cliente = t0 THEN {same_hour}"
+            f" WHEN hora > {hour_number('t0')} THEN {any_time} END"
         )
 
-    gap = micros_between("anterior", "primera_chat.fecha")
+    gap = micros_between("anterior", "primera_chat")
+    human = reply("humano_tras_cliente", "humano_hora")
     expressions = _TOTALS | {
-        "primera": "min(primera)",
-        "primera_chat": "min(primera_chat)",
-        "ultima": "max(ultima)",
+        "fecha_caso": "min(primera)",
+        "etiqueta": "min_by(etiqueta, primera)",
+        "primera_fecha": "min(primera_chat)",
+        "etiqueta_chat": "min_by(etiqueta_chat, primera_chat)",
+        "ultima_fecha": "max(ultima)",
         "t0": "min(t0)",
-        "respuesta_humana": reply("humano_tras_cliente", "humano_hora"),
-        "t_bot": reply("bot_tras_cliente", "bot_hora"),
+        "t_humano": f"min({human})",
+        "persona": f"min_by({reply('persona_tras_cliente', 'persona_hora')}, {human})",
+        "t_bot": f"min({reply('bot_tras_cliente', 'bot_hora')})",
         "hueco_largo": f"coalesce(bool_or({gap} > {rules.max_gap_hours * HOUR_MICROS}), false)",
     }
     rows = placed.groupBy(*keys).agg(*_aggregates(expressions))
-    return rows.selectExpr(
-        *keys, "duplicados", "dup_sustantivo", "hubo_llamada", "total", "cliente", "bot",
-        "humano", "multimedia", "venta", "colaborador", "textos",
-        "texto_min = texto_max AS texto_unico",
-        "primera.fecha AS fecha_caso",
-        "primera.primero.canal AS canal_caso",
-        "primera.primero.campania AS campania_caso",
-        "primera_chat.fecha AS primera_fecha",
-        "primera_chat.primero_chat.canal AS primer_canal",
-        "primera_chat.primero_chat.campania AS primera_campania",
-        "ultima AS ultima_fecha",
-        "t0",
-        "respuesta_humana.fecha AS t_humano",
-        "respuesta_humana.usuario AS usuario_humano",
-        "t_bot",
-        "hueco_largo",
+    return rows.selectExpr("*", "texto_min_1 = texto_max_1 AND texto_min_2 = texto_max_2 AS texto_unico")
+
+
+def labels(messages: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The texts behind the codes: one row per channel and campaign, and per agent."""
+    both = (
+        f"array(struct({LABELS} AS codigo, canal, campania, CAST(NULL AS string) AS usuario),"
+        f" CASE WHEN {X.speaker('direccionamiento', 'usuario', rules)} = 'humano'"
+        f" THEN struct({USER} AS codigo, CAST(NULL AS string) AS canal, CAST(NULL AS string) AS campania, usuario) END)"
     )
+    return messages.selectExpr(f"inline(array_compact({both}))").distinct()
 
 
 def case_facts(
@@ -215,7 +237,22 @@ def case_facts(
 ) -> DataFrame:
     """The whole ladder. ``keys`` may hold more than the case number, for instance
     a period column, to analyse several overlapping periods in one job."""
-    return cases(hours(instants(messages, rules, keys), keys), rules, keys)
+    facts = cases(hours(instants(messages, rules, keys), keys), rules, keys)
+    texts = labels(messages, rules)
+    names = {
+        "etiqueta": {"canal": "canal_caso", "campania": "campania_caso"},
+        "etiqueta_chat": {"canal": "primer_canal", "campania": "primera_campania"},
+        "persona": {"usuario": "usuario_humano"},
+    }
+    for code, columns in names.items():
+        found = texts.select(F.col("codigo").alias(code), *[F.col(c).alias(n) for c, n in columns.items()])
+        facts = facts.join(found, code, "left")
+    return facts.select(
+        *keys, "duplicados", "dup_sustantivo", "hubo_llamada", "total", "cliente", "bot",
+        "humano", "multimedia", "venta", "colaborador", "textos", "texto_unico", "fecha_caso",
+        "canal_caso", "campania_caso", "primera_fecha", "primer_canal", "primera_campania",
+        "ultima_fecha", "t0", "t_humano", "usuario_humano", "t_bot", "hueco_largo",
+    )
 
 
 def longest_gaps(messages: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:

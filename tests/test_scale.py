@@ -68,7 +68,8 @@ def plan_of(frame):
 
 
 def test_case_plan(spark, sf_dir, tmp_path):
-    """Four shuffles from message to case; text and whole cases never cross one."""
+    """Four shuffles from message to case; text and whole cases never cross one. Messages and
+    instants are aggregated by hashing; the texts of labels come from their distinct values."""
     from chatledger import fixture
 
     fixture.interactions(spark, sf_dir).write.parquet(f"{tmp_path}/raw")
@@ -76,7 +77,10 @@ def test_case_plan(spark, sf_dir, tmp_path):
     plan = plan_of(case_metrics(messages, "2024-01-01"))
     keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
     names = [re.sub(r"#\d+L?", "", k).split(", ") for k in keys]
-    assert len(names) == 4
+    assert names[4:] == [["codigo", "canal", "campania", "usuario"]] * 3
+    assert "SortAggregate" not in plan
+    below_hours = plan.split("Exchange hashpartitioning(nro_caso")[3]
+    assert below_hours.count("HashAggregate") >= 2 and "Sort" not in below_hours.split("Exchange hashpartitioning(codigo")[0]
     assert names[0] == ["nro_caso"]
     assert names[1] == ["nro_caso", "hora"]
     assert names[2] == ["nro_caso", "hora", "fecha_creacion"]
@@ -87,13 +91,15 @@ def test_case_plan(spark, sf_dir, tmp_path):
 
 
 def test_partitioning_by_case_is_reused(spark, sf_dir, tmp_path):
-    """A caller who knows that no case is large needs one shuffle; results are equal."""
+    """A caller who knows that no case is large needs one shuffle of whole rows, and a narrow
+    one for the labels; results are equal."""
     from chatledger import fixture
 
     fixture.interactions(spark, sf_dir).write.parquet(f"{tmp_path}/raw")
     messages = spark.read.parquet(f"{tmp_path}/raw")
     by_case = case_metrics(messages.repartition("nro_caso"), "2024-01-01")
-    assert plan_of(by_case).count("Exchange hashpartitioning") == 1
+    keys = set(re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", re.sub(r"#\d+L?", "", plan_of(by_case))))
+    assert keys == {"nro_caso", "codigo, canal, campania, usuario"}
     ladder = case_metrics(messages, "2024-01-01")
     assert sorted(map(str, by_case.collect())) == sorted(map(str, ladder.collect()))
 
