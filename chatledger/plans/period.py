@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chatledger.operators import audit as A
 from chatledger.operators import unify as U
@@ -67,13 +66,13 @@ def extract_period(
     to = Folders(base)
     expected = count_between(rows, since, until).first()["total"]
     messages = clean_messages(rows_between(rows, since, until))
-    tables.write_period(messages, to.raw, since, until, MESSAGES)
-    raw = tables.read_period(spark, to.raw, since, until, MESSAGES)
+    kept = tables.write_period(messages, to.raw, since, until, MESSAGES)
     if csv:
+        raw = tables.read_period(spark, to.raw, since, until, MESSAGES)
         lines = tables.one_line_texts(raw).drop("id")
         tables.write_csv(lines, tables.period_path(to.raw_csv, since, until))
-    counts = raw.agg(F.lit(expected).cast("bigint").alias("estimado_origen"), F.count("*").alias("total_filas"))
-    return counts.unpivot([], counts.columns, "concepto", "valor")
+    counts = [("estimado_origen", expected), ("total_filas", kept)]
+    return spark.createDataFrame(counts, "concepto string, valor bigint")
 
 
 def compute_period(
@@ -101,9 +100,7 @@ def compute_period(
 
     audit = A.audit_rows(results)
     audits.upsert_period(audit, to.master, period_key(since, until))
-    stored = spark.read.schema(AUDIT).parquet(
-        audits.period_dir(to.master, period_key(since, until))
-    )
+    stored = audits.read_period_audit(spark, to.master, period_key(since, until))
     audits.write_audit(
         stored,
         tables.period_path(to.audit_json, since, until),
@@ -154,11 +151,7 @@ def report_period(
     if csv:
         tables.write_csv(report, tables.period_path(to.reports_csv, since, until))
 
-    audit_path = audits.period_dir(to.master, period_key(since, until))
-    if tables.exists(spark, audit_path):
-        audit = spark.read.schema(AUDIT).parquet(audit_path)
-    else:
-        audit = spark.createDataFrame([], AUDIT)
+    audit = audits.read_period_audit(spark, to.master, period_key(since, until))
     tables.write_period(build_cases(metrics, audit), to.cases, since, until, CASES)
     if csv:
         cases = tables.read_period(spark, to.cases, since, until, CASES)
@@ -176,8 +169,9 @@ def unify_tables(
     dedup: bool = True,
     csv: bool = True,
 ) -> DataFrame:
-    """C6 with its sink (K7): the unified table, stored sorted as Parquet and, if wanted,
-    CSV; that costs a second sort, as files read back keep no order. A selection that holds no rows is refused, and the stored table stays as it is."""
+    """C6 with its sink (K7): the unified table, stored sorted as Parquet and, if wanted, as
+    CSV, which a narrow pass makes. A selection that holds no rows is refused; then, and if a job
+    fails, the stored table stays as it is."""
     to = Folders(base)
     source, schema = (
         (to.reports, REPORT) if kind.name == U.REPORTS.name else (to.cases, CASES)
@@ -190,8 +184,8 @@ def unify_tables(
         raise ValueError("no rows in the selected periods; the unified table was left as it is")
     table = U.unify(available, kind, since, until, periods, dedup)
     path, csv_path = to.unified(kind)
-    tables.write_table(table, path)
-    stored = spark.read.schema(schema).parquet(path)
+    tables.write_sorted(table, path)
+    stored = tables.read_sorted(spark, path, schema)
     if csv:
-        tables.write_csv(U.sort_unified(stored, kind), csv_path)
-    return stored
+        tables.write_csv(stored, csv_path)
+    return stored.drop(tables.ORDER_COLUMN)

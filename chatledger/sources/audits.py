@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from chatledger.operators.audit import flat_audit
 from chatledger.schemas import AUDIT, AUDIT_MASTER
-from chatledger.sources.tables import exists, replace_partition, write_csv
+from chatledger.sources import versions
+from chatledger.sources.tables import write_csv
 
 _CASE = "struct<nro_caso: bigint, fecha: string, campania: string, canal: string>"
 
@@ -68,35 +69,30 @@ def read_master_document(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def period_dir(base: str, key: str) -> str:
-    return f"{base}/periodo={key}"
-
-
 def upsert_period(audit: DataFrame, base: str, key: str) -> str:
     """K8: the audit of a period replaces what the master had for it, once it is whole."""
-    path = period_dir(base, key)
-    replace_partition(audit.select(*AUDIT.names), base, {"periodo": key}, path)
-    return path
+    return versions.write(audit.select(*AUDIT.names), base, key)
 
 
 def read_master(spark: SparkSession, base: str) -> DataFrame:
-    """The general audit as a long table partitioned by ``periodo``."""
-    return spark.read.schema(AUDIT_MASTER).parquet(base)
+    """The general audit as a long table with ``periodo``, on which filters prune."""
+    return versions.read(spark, base, AUDIT, column="periodo").select(*AUDIT_MASTER.names)
+
+
+def read_period_audit(spark: SparkSession, base: str, key: str) -> DataFrame:
+    """The audit of one period; without one, no rows."""
+    try:
+        return versions.read(spark, base, AUDIT, key)
+    except FileNotFoundError:
+        return spark.createDataFrame([], AUDIT)
 
 
 def list_audit_periods(spark: SparkSession, base: str) -> DataFrame:
     """Period keys in the master, empty periods included."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(base)
-    return files.select(F.col("periodo").cast("string")).distinct()
+    return versions.keys(spark, base).select(F.col("clave").alias("periodo"))
 
 
 def remove_period(spark: SparkSession, base: str, key: str) -> bool:
-    """K9: drop a period by dropping its directory; other periods are not touched.
-    False when the master has no such period."""
-    path = period_dir(base, key)
-    if not exists(spark, path):
-        return False
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    return True
+    """K9: the master no longer has the period; no file is touched and other periods are
+    not read. False when the master has no such period."""
+    return versions.remove(spark, base, key)

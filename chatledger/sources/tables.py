@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatledger.functions.calendar import period_from_name
+from chatledger.sources import versions
 
 PERIOD_FIELDS = [
     T.StructField("periodo_desde", T.DateType()),
@@ -28,9 +29,9 @@ def period_path(base: str, since: dt.date, until: dt.date) -> str:
     return f"{base}/periodo_desde={since.isoformat()}/periodo_hasta={until.isoformat()}"
 
 
-def replace_partition(table: DataFrame, base: str, values: dict[str, object], path: str) -> None:
-    """Replace one partition, ``path``, of the table at ``base``. The rows written are
-    counted on the way, nothing is computed twice."""
+def replace_partition(table: DataFrame, base: str, values: dict[str, object], path: str) -> int:
+    """Replace one partition, ``path``, of the table at ``base``. Returns the number of rows,
+    which are counted on the way."""
     written = Observation()
     rows = table.observe(written, F.count(F.lit(1)).alias("filas"))
     (
@@ -42,29 +43,23 @@ def replace_partition(table: DataFrame, base: str, values: dict[str, object], pa
     )
     if not written.get["filas"]:
         table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(path)
+    return written.get["filas"]
 
 
 def write_period(
     table: DataFrame, base: str, since: dt.date, until: dt.date, schema: T.StructType | None = None
-) -> str:
-    """K1, K3, K5, K6: replace one period, columns in the order of ``schema``."""
+) -> int:
+    """K1, K3, K5, K6: replace one period, columns in the order of ``schema``; the number of rows."""
     path = period_path(base, since, until)
     if schema is not None:
         table = table.select(*[F.col(f"`{n}`") for n in schema.names])
-    replace_partition(table, base, {"periodo_desde": since, "periodo_hasta": until}, path)
-    return path
-
-
-def write_table(table: DataFrame, path: str) -> str:
-    """K7: an unpartitioned table."""
-    table.write.mode("overwrite").parquet(path)
-    return path
+    return replace_partition(table, base, {"periodo_desde": since, "periodo_hasta": until}, path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` can be read; resolving a reader lists it and runs no job."""
+    """Whether ``path`` can be read; with a schema given, resolving a reader runs no job."""
     try:
-        spark.read.format("binaryFile").load(path)
+        spark.read.schema("x int").parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return False
@@ -72,6 +67,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+#: Number of a row in a sorted table: partition of the sort, then place in it.
+ORDER_COLUMN = "orden"
+
+
+def write_sorted(table: DataFrame, base: str) -> str:
+    """K7: a sorted table as the current version of ``base``. Files read back keep no order, so
+    rows keep the number of their place; no later pass has to sort them again."""
+    return versions.write(table.withColumn(ORDER_COLUMN, F.monotonically_increasing_id()), base)
+
+
+def read_sorted(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """The current version of what ``write_sorted`` wrote, with the order column."""
+    return versions.read(spark, base, T.StructType([*schema.fields, T.StructField(ORDER_COLUMN, T.LongType())]), versions.WHOLE)
+
+
 def read_period(
     spark: SparkSession, base: str, since: dt.date, until: dt.date, schema: T.StructType
 ) -> DataFrame:
@@ -143,11 +153,19 @@ def _csv_text(name: str, kind: T.DataType) -> Column:
 
 
 def write_csv(table: DataFrame, path: str) -> str:
-    """CSV with header; null and '' are both an empty field, quotes are doubled."""
-    texts = [_csv_text(f.name, f.dataType).alias(f.name) for f in table.schema.fields]
+    """CSV with header; null and '' are both an empty field, quotes are doubled. A table with
+    an order column is written without a shuffle, one folder ``rango=`` for each range of its sort:
+    folders and the files in them follow each other in order."""
+    fields = [f for f in table.schema.fields if f.name != ORDER_COLUMN]
+    texts = [_csv_text(f.name, f.dataType).alias(f.name) for f in fields]
+    rows, ranges = table.select(*texts), []
+    if len(fields) < len(table.schema.fields):
+        place = F.lpad(F.shiftright(ORDER_COLUMN, 33).cast("string"), 8, "0")
+        rows = table.select(*texts, F.col(ORDER_COLUMN), place.alias("rango")).sortWithinPartitions("rango", ORDER_COLUMN)
+        rows, ranges = rows.drop(ORDER_COLUMN), ["rango"]
     (
-        table.select(*texts)
-        .write.mode("overwrite")
+        rows.write.partitionBy(*ranges)
+        .mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")
@@ -169,6 +187,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
+        .select(*schema.names)
     )
 
 

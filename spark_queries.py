@@ -117,7 +117,8 @@ def s2_count_between(spark, sf):
 def s3_raw_scan(spark, sf):
     base = scratch_dir(spark, "s3")
     messages = X.interactions(spark, sf)
-    tables.write_period(L.messages_between(messages, *SECOND), base, *SECOND, MESSAGES)
+    for period in PERIODS:
+        tables.write_period(L.messages_between(messages, *period), base, *period, MESSAGES)
     return tables.read_period(spark, base, *SECOND, MESSAGES)
 
 
@@ -229,8 +230,8 @@ def k6_cases_sink(spark, sf):
 def k7_unified_sink(spark, sf):
     base = _stored_reports(spark, sf, "k7")
     unified = U.unify(tables.read_periods(spark, base, REPORT), U.REPORTS)
-    tables.write_table(unified, f"{base}_unificado")
-    return spark.read.schema(REPORT).parquet(f"{base}_unificado")
+    tables.write_sorted(unified, f"{base}_unificado")
+    return tables.read_sorted(spark, f"{base}_unificado", REPORT).drop(tables.ORDER_COLUMN)
 
 
 def _section_counts(audit: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from chatledger.plans import period as P
 from chatledger.operators.classify import metrics_from_results
 from chatledger.operators.report import build_cases, cases_from_results, not_attended_cases
 from chatledger.schemas import AUDIT, CASE_RESULTS, CASES, MESSAGES, METRICS, REPORT
-from chatledger.sources import audits, jdbc, scratch, tables
+from chatledger.sources import audits, jdbc, scratch, tables, versions
 
 PERIODS = [tuple(dt.date.fromisoformat(d) for d in pair) for pair in X.PERIODS]
 
@@ -97,19 +97,68 @@ def test_unify(spark, base, kind, schema):
         P.unify_tables(spark, base, kind, periods=[(dt.date(2020, 1, 1), dt.date(2020, 1, 1))])
     with pytest.raises(ValueError):
         P.unify_tables(spark, base, kind, dt.date(2024, 1, 4), dt.date(2024, 1, 1))
-    before = spark.read.parquet(P.Folders(base).unified(kind)[0]).count()
+    before = tables.read_sorted(spark, P.Folders(base).unified(kind)[0], schema).count()
     with pytest.raises(ValueError, match="no rows"):
         P.unify_tables(spark, base, kind, dt.date(2019, 1, 1), dt.date(2019, 1, 2))
-    assert spark.read.parquet(P.Folders(base).unified(kind)[0]).count() == before > 0
+    assert tables.read_sorted(spark, P.Folders(base).unified(kind)[0], schema).count() == before > 0
 
 
 def test_unified_table_is_sorted(spark, base):
+    """One range exchange in the job; rows and CSV files follow each other in order."""
+    import glob
+
+    table = U.unify(tables.read_periods(spark, f"{base}/reporte", REPORT), U.REPORTS)
+    assert table._jdf.queryExecution().executedPlan().toString().count("rangepartitioning") == 1
     P.unify_tables(spark, base)
     path, csv = P.Folders(base).unified(U.REPORTS)
-    times = [r[0] for r in U.sort_unified(spark.read.schema(REPORT).parquet(path), U.REPORTS)
-             .select("primera_interaccion_cliente").collect()]
-    assert times == sorted(times)
-    assert tables.read_csv(spark, csv, REPORT).count() == len(times)
+    stored = tables.read_sorted(spark, path, REPORT)
+    want = [r[:-1] for r in stored.orderBy(tables.ORDER_COLUMN).collect()]
+    assert want == [tuple(r) for r in table.collect()] and len(want) > 30
+    again = stored.repartition(5)  # the order is in the rows, not in the files
+    for frame, folder in ((stored, csv), (again, f"{csv}_2")):
+        if frame is again:
+            tables.write_csv(frame, folder)
+        files = sorted(glob.glob(f"{folder}/rango=*/part-*.csv"))
+        cases = [line.split(",")[0] for f in files for line in open(f, encoding="utf-8").read().splitlines()[1:]]
+        if frame is stored:
+            assert cases == [str(r[0]) for r in want]
+        assert sorted(cases) == sorted(str(r[0]) for r in want)
+    assert tables.read_csv(spark, csv, REPORT).columns == REPORT.names
+
+
+def test_failing_unify_leaves_the_old_table(spark, base, monkeypatch):
+    path = P.Folders(base).unified(U.CASE_TABLES)[0]
+    before = P.unify_tables(spark, base, U.CASE_TABLES, csv=False).count()
+    fails = F.when(F.col("nro_caso") % 5 == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("canal"))
+    with monkeypatch.context() as patch:
+        real = U.unify
+        patch.setattr(U, "unify", lambda *a, **k: real(*a, **k).withColumn("canal", fails))
+        with pytest.raises(Exception, match="lost"):
+            P.unify_tables(spark, base, U.CASE_TABLES, csv=False)
+    assert tables.read_sorted(spark, path, CASES).count() == before > 0
+    P.unify_tables(spark, base, U.CASE_TABLES, periods=PERIODS[:1], csv=False)
+    assert 0 < tables.read_sorted(spark, path, CASES).count() < before
+
+
+def test_removed_period_can_be_restored(spark, base, tmp_path):
+    path, audit = f"{tmp_path}/general", audits.read_master(spark, f"{base}/auditoria_general").drop("periodo")
+    assert not audits.remove_period(spark, path, "a_b")
+    for key in ("a_b", "c_d"):
+        audits.upsert_period(audit, path, key)
+    assert audits.remove_period(spark, path, "a_b")
+    assert {r.periodo for r in audits.read_master(spark, path).collect()} == {"c_d"}
+    assert audits.read_period_audit(spark, path, "a_b").isEmpty()
+    assert versions.restore(spark, path, "a_b") and not versions.restore(spark, path, "a_b")
+    assert audits.read_period_audit(spark, path, "a_b").count() == audit.count()
+    audits.remove_period(spark, path, "a_b")
+    audits.upsert_period(audit.limit(3), path, "a_b")
+    audits.upsert_period(audit.limit(2), path, "a_b")
+    assert audits.read_period_audit(spark, path, "a_b").count() == 2
+    for key in ("a_b", "c_d"):
+        audits.remove_period(spark, path, key)
+    assert audits.read_master(spark, path).isEmpty()
+    plan = audits.read_master(spark, f"{base}/auditoria_general").where("periodo = '2024-01-01_2024-01-02'")
+    assert "clave" in plan._jdf.queryExecution().executedPlan().toString().split("PartitionFilters:")[1].split("]")[0]
 
 
 def test_listed_order_breaks_ties(spark):
@@ -227,7 +276,7 @@ def test_job_from_the_shell(spark, sf_dir, tmp_path):
     run_job.main(["period", "--source", f"{tmp_path}/source", *common], spark)
     run_job.main(["report", *common], spark)
     run_job.main(["unify", "--kind", "casos", "--base", f"{tmp_path}/out"], spark)
-    assert spark.read.parquet(f"{tmp_path}/out/unificado/casos").count()
+    assert tables.read_sorted(spark, f"{tmp_path}/out/unificado/casos", CASES).count()
     with pytest.raises(SystemExit):
         run_job.main(["report", "--base", f"{tmp_path}/out", "--since", "2024-01-01"], spark)
 
