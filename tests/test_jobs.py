@@ -322,6 +322,64 @@ def test_audit_documents(spark, tmp_path):
         ("2024-01-01_2024-01-02", 4), ("2024-02-01_2024-02-01", 1)}
 
 
+def random_audit(rnd, cases):
+    odd = ['a, "b" {c} [d]', "back\\slash\\", "ñ\nü\t", "], [", "}", "{", ":", "", '"x": [', "end\\\\"]
+
+    def case(n):
+        if rnd.random() < 0.3:
+            return n
+        fields = {"nro_caso": n, "fecha": rnd.choice(["2024-01-02 03:04", ""]), "campania": rnd.choice([*odd, None]),
+                  "canal": rnd.choice([*odd, None])}
+        return {k: fields[k] for k in rnd.sample(list(fields), 4)} if rnd.random() < 0.8 else {"nro_caso": n}
+
+    return {f"seccion {k}": [case(rnd.randint(1, 10**6)) for _ in range(rnd.choice([0, 1, cases]))] for k in range(5)}
+
+
+def plain_cases(audit):
+    rows = [(c if isinstance(c, dict) else {"nro_caso": c}) | {"seccion": s} for s, cases in audit.items() for c in cases]
+    return sorted(str((r["nro_caso"], r.get("fecha") or "", r.get("campania"), r.get("canal"), r["seccion"])) for r in rows)
+
+
+@pytest.mark.parametrize("indent", [None, 0, 2])
+@pytest.mark.parametrize("block", ["128MB", "900b"])
+def test_documents_are_read_in_blocks(spark, tmp_path, block, indent):
+    """Any block border, also inside a string, a case, a number or a key."""
+    import random
+
+    rnd = random.Random(f"{indent}{block}")
+    audits_of = {f"2024-01-0{n}_2024-01-0{n + 1}": random_audit(rnd, 60) for n in range(1, 5)}
+    whole = audits_of["2024-01-02_2024-01-03"]
+    (tmp_path / "docs").mkdir()
+    for n, one in enumerate((whole, random_audit(rnd, 7), {})):
+        (tmp_path / "docs" / f"{n}.json").write_text(json.dumps(one, ensure_ascii=n == 1, indent=indent), encoding="utf-8-sig" if n == 0 else "utf-8")
+    (tmp_path / "m.json").write_text(json.dumps(audits_of, indent=indent), encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b" if block != "128MB" else "4MB")
+    try:
+        found = audits.read_audit_documents(spark, f"{tmp_path}/docs")
+        rows = sorted(str(tuple(r)) for r in found.select("nro_caso", "fecha", "campania", "canal", "seccion").collect())
+        want = [json.loads((tmp_path / "docs" / f"{n}.json").read_text(encoding="utf-8-sig")) for n in range(3)]
+        clean = lambda one: json.loads(json.dumps(one))
+        assert rows == sorted(r for one in want for r in plain_cases(clean(one)))
+        master = audits.read_master_document(spark, f"{tmp_path}/m.json")
+        got = {}
+        for r in master.collect():
+            got.setdefault(r.periodo, []).append(str((r.nro_caso, r.fecha, r.campania, r.canal, r.seccion)))
+        assert {k: sorted(v) for k, v in got.items()} == {k: plain_cases(v) for k, v in audits_of.items() if plain_cases(v)}
+        if block != "128MB":
+            assert spark.read.option("lineSep", ",").text(f"{tmp_path}/m.json").rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert "wholetext" not in found._jdf.queryExecution().toString().lower()
+
+
+def test_comma_in_a_section_name_is_refused(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"a": [1], "b, c": [2]}))
+    with pytest.raises(Exception, match="comma in its name"):
+        audits.read_audit_documents(spark, f"{tmp_path}/a.json").collect()
+
+
 def test_audit_lines(spark, tmp_path):
     rows = [(1, "2024-01-02 03:04", "x", None, "casos_vacios"), (2, "", None, "y", "casos_otros")]
     frame = spark.createDataFrame(rows, AUDIT)
