@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from chatledger.operators import audit as A
 from chatledger.operators import unify as U
 from chatledger.operators.classify import case_results, metrics_from_results
-from chatledger.operators.cleaning import clean_messages, count_between, rows_between
+from chatledger.operators.cleaning import clean_messages, reject_reason, rows_between
 from chatledger.operators.report import build_cases, build_report
 from chatledger.rules import DEFAULT_RULES, Rules
 from chatledger.schemas import AUDIT, CASE_RESULTS, CASES, MESSAGES, METRICS, REPORT
 from chatledger.sources import audits, tables
 
 
+#: Reasons that a row with a readable time can be rejected for.
+REJECTED = ("sin_caso", "direccion_desconocida", "caso_ilegible")
+
+
 class Folders:
     """Table locations under one base path."""
 
@@ -62,17 +67,21 @@ def extract_period(
     spark: SparkSession, rows: DataFrame, base: str, since: dt.date, until: dt.date, csv: bool = True
 ) -> DataFrame:
     """Source rows of the period, cleaned, as raw Parquet and, if wanted, CSV; returns
-    the number of source rows, counted before the extract, and of rows kept."""
+    the number of source rows, of rows kept, and of rows rejected by reason. One pass over the
+    source counts them while it writes. Rows without a readable time are in no period."""
     to = Folders(base)
-    expected = count_between(rows, since, until).first()["total"]
-    messages = clean_messages(rows_between(rows, since, until))
+    source = rows_between(rows, since, until)
+    reason, seen = reject_reason(source), Observation()
+    counts = [F.expr(f"count_if({reason} <=> '{r}') AS {r}") for r in REJECTED]
+    messages = clean_messages(source.observe(seen, F.count(F.lit(1)).alias("total"), *counts))
     kept = tables.write_period(messages, to.raw, since, until, MESSAGES)
     if csv:
         raw = tables.read_period(spark, to.raw, since, until, MESSAGES)
         lines = tables.one_line_texts(raw).drop("id")
         tables.write_csv(lines, tables.period_path(to.raw_csv, since, until))
-    counts = [("estimado_origen", expected), ("total_filas", kept)]
-    return spark.createDataFrame(counts, "concepto string, valor bigint")
+    found = [("estimado_origen", seen.get["total"]), ("total_filas", kept)]
+    found += [(f"rechazados_{r}", seen.get[r]) for r in REJECTED]
+    return spark.createDataFrame(found, "concepto string, valor bigint")
 
 
 def compute_period(

@@ -14,6 +14,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/chatledger/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"run-{name}-", dir="/tmp")

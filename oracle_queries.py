@@ -663,6 +663,14 @@ def oracle_sql() -> dict[str, str]:
         " UNION ALL SELECT 'estimado_origen', count(*) FROM source_messages"
         " WHERE TRY_CAST(fecha_creacion AS TIMESTAMP)::DATE BETWEEN DATE '2024-01-02' AND DATE '2024-01-04'"
         f" UNION ALL SELECT 'total_filas', count(*) FROM period_messages WHERE {P2}"
+        f""" UNION ALL SELECT 'rechazados_' || r.motivo, count(s.motivo)
+          FROM (VALUES ('sin_caso'), ('direccion_desconocida'), ('caso_ilegible')) r(motivo) LEFT JOIN (
+            SELECT CASE WHEN nro_caso IS NULL THEN 'sin_caso'
+              WHEN {_DIRECTION} NOT IN ('INBOUND', 'OUTBOUND') THEN 'direccion_desconocida'
+              WHEN TRY_CAST(nro_caso AS BIGINT) IS NULL THEN 'caso_ilegible' END AS motivo
+            FROM source_messages
+            WHERE TRY_CAST(fecha_creacion AS TIMESTAMP)::DATE BETWEEN DATE '2024-01-02' AND DATE '2024-01-04') s
+          USING (motivo) GROUP BY r.motivo"""
     )
     q["c8_overview_summary"] = q["a12_general_summary"]
     q["c8_overview_matrix"] = q["a13_period_matrix"]

@@ -48,7 +48,9 @@ def test_only_metrics_and_only_extract(spark, base, sf_dir, tmp_path):
     assert values["metricas_calculadas"] == 11 and len(values) == 16
     source = X.source_messages(spark, sf_dir)
     summary = P.run_period(spark, source, str(tmp_path), *PERIODS[0], only_extract=True)
-    assert {r.concepto for r in summary.collect()} == {"estimado_origen", "total_filas"}
+    values = {r.concepto: r.valor for r in summary.collect()}
+    assert values.keys() == {"estimado_origen", "total_filas", *(f"rechazados_{r}" for r in P.REJECTED)}
+    assert values["estimado_origen"] == sum(v for k, v in values.items() if k != "estimado_origen")
     assert not tables.exists(spark, f"{tmp_path}/metricas")
     with pytest.raises(ValueError):
         P.run_period(spark, source, str(tmp_path), *PERIODS[0], only_extract=True, only_metrics=True)
@@ -281,6 +283,45 @@ def test_job_from_the_shell(spark, sf_dir, tmp_path):
         run_job.main(["report", "--base", f"{tmp_path}/out", "--since", "2024-01-01"], spark)
 
 
+def test_audit_and_periods_from_the_shell(spark, sf_dir, tmp_path, capsys):
+    import run_job
+
+    X.source_messages(spark, sf_dir).write.parquet(f"{tmp_path}/source")
+    base = ["--base", f"{tmp_path}/out"]
+    for since, until in (("2024-01-01", "2024-01-02"), ("2024-01-02", "2024-01-04")):
+        run_job.main(["period", "--source", f"{tmp_path}/source", "--no-csv", *base, "--since", since, "--until", until], spark)
+        run_job.main(["report", "--no-csv", *base, "--since", since, "--until", until], spark)
+    run_job.main(["unify", "--no-csv", "--periods", "2024-01-02_2024-01-04", *base], spark)
+    want = tables.read_period(spark, f"{tmp_path}/out/reporte", *PERIODS[1], REPORT).count()
+    assert tables.read_sorted(spark, f"{tmp_path}/out/unificado/reporte", REPORT).count() == want
+    capsys.readouterr()
+    run_job.main(["audit", "periods", *base], spark)
+    assert capsys.readouterr().out.split() == ["2024-01-01_2024-01-02", "2024-01-02_2024-01-04"]
+    run_job.main(["audit", "overview", *base, "--out", f"{tmp_path}/sheets"], spark)
+    for sheet in ("resumen", "por_periodo", "todos", "por_seccion"):
+        assert spark.read.option("header", True).csv(f"{tmp_path}/sheets/{sheet}").count()
+    run_job.main(["audit", "remove", *base, "--period", "2024-01-01_2024-01-02"], spark)
+    with pytest.raises(SystemExit):
+        run_job.main(["audit", "remove", *base, "--period", "2024-01-01_2024-01-02"], spark)
+    run_job.main(["audit", "restore", *base, "--period", "2024-01-01_2024-01-02"], spark)
+    assert audits.list_audit_periods(spark, f"{tmp_path}/out/auditoria_general").count() == 2
+    for wrong in (["unify", *base, "--periods", "2024-01-02"], ["audit", "remove", *base], ["period", *base],
+                  ["period", *base, "--jdbc-url", "jdbc:x"], ["period", *base, "--source", "x", "--jdbc-url", "jdbc:x", "--table", "t"]):
+        with pytest.raises(SystemExit):
+            run_job.main(wrong, spark)
+
+
+def test_source_of_the_shell_job(monkeypatch):
+    """A database is read through the JDBC reader, its password comes from the environment."""
+    import run_job
+
+    monkeypatch.setenv("JDBC_PASSWORD", "p")
+    monkeypatch.setattr(jdbc, "read_messages", lambda spark, *dates, **options: (dates, options))
+    given = run_job.parser().parse_args(["period", "--base", "b", "--jdbc-url", "jdbc:x", "--table", "t", "--user", "u"])
+    assert run_job.source_rows(None, given, PERIODS[0]) == (
+        PERIODS[0], dict(url="jdbc:x", table="t", user="u", password="p", driver=None, rows_per_partition=1_000_000))
+
+
 def test_csv_text(spark, tmp_path):
     rows = [(1, 'a "quoted", b', True, dt.datetime(2024, 1, 2, 3, 4, 5)),
             (2, " blank ends ", False, dt.datetime(2024, 1, 2, 3, 4, 5, 120000)), (3, "", None, None)]
