@@ -40,7 +40,7 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
-#: Of one cascade, as broadcast; and how many different path lengths rules may have.
+#: Of one cascade, as broadcast; and how many different path lengths of rules are listed one by one.
 MAX_BYTES, MAX_LENGTHS = 128 << 20, 1000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -57,13 +57,16 @@ def path_of(url: Column) -> Column:
 
 def _candidates(host: str, path: str, labels: int, lengths: list[int]) -> Column:
     """All keys of a url that a rule could have, longest first, then those of longer hosts
-    (the sort is stable)."""
+    (the sort is stable). Beyond ``MAX_LENGTHS`` path lengths every length up to the longest
+    counts; the cascade is exact for all of them, and a url has no more than its own."""
     cut = f"split({host}, '\\\\.')"
     hosts = (
         f"transform(sequence(greatest(1, size({cut}) - {labels - 1}), size({cut})), "
         f"i -> array_join(slice({cut}, i, size({cut})), '.'))"
     )
     widths = f"filter(array({', '.join(map(str, lengths))}), w -> w <= char_length({path}))"
+    if len(lengths) > MAX_LENGTHS:
+        widths = f"sequence(0, least(char_length({path}), {max(lengths)}))"
     keys = f"flatten(transform({hosts}, h -> transform({widths}, w -> concat(h, substring({path}, 1, w)))))"
     ordered = f"array_sort({keys}, (a, b) -> char_length(b) - char_length(a))"
     return F.expr(f"CASE WHEN {host} = '' THEN CAST(array() AS array<string>) ELSE {ordered} END")
@@ -186,8 +189,6 @@ def filter_urls(
         return rows.select(
             F.col("id").alias(key), "host", "path", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict")
         )
-    if len(shape["lengths"]) > MAX_LENGTHS:
-        raise ValueError(f"rules have more than {MAX_LENGTHS} different path lengths")
     rows = rows.withColumn("keys", _candidates("host", "path", shape["labels"], shape["lengths"]))
     universe = rows.select(F.explode("keys").alias("key"))
     size = universe.agg(F.approx_count_distinct("key")).first()[0]

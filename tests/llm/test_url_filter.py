@@ -51,6 +51,21 @@ def test_random_rules(spark):
     held(spark, urls, rules, max_bytes=100)  # in parts
 
 
+def test_many_path_lengths(spark, monkeypatch):
+    """More lengths than are listed one by one: the same verdicts, also of clashing columns."""
+    rnd = random.Random(8)
+    path = lambda n: "/" + "".join(rnd.choice("ab/") for _ in range(n))
+    long = path(1600)
+    rules = [(rnd.choice(("allow", "block")), rnd.choice(("x.com", "com")), long[: n + 1]) for n in range(1500)]
+    rules = list({(h, p): (v, h, p) for v, h, p in rules}.values())
+    urls = [f"http://a.x.com{long[: rnd.randint(0, 1601)]}" for _ in range(30)] + ["http://b.com/", f"http://y.net{long}"]
+    held(spark, urls, rules)
+    monkeypatch.setattr(U, "MAX_LENGTHS", 3)
+    hosts = [(rnd.choice(("allow", "block")), rnd.choice(("x.com", "com", "a.x.com")), path(n)) for n in range(6) for _ in range(4)]
+    hosts = list({(h, p): (v, h, p) for v, h, p in hosts}.values())
+    held(spark, [f"http://{rnd.choice(('a.x.com', 'x.com', 'q.com'))}{path(rnd.randint(0, 7))}" for _ in range(300)], hosts)
+
+
 def test_no_rules_no_urls(spark):
     pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id bigint, url string")
     none = spark.createDataFrame([], RULE_TYPE)
