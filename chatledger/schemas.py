@@ -1,4 +1,5 @@
-"""Declared schemas. Nothing is inferred, so empty periods stay readable."""
+"""Declared schemas. Nothing is inferred, so empty periods stay readable. Column names and types
+are fixed values: they are the tables that other programs read."""
 
 from __future__ import annotations
 

@@ -1,5 +1,6 @@
-"""The fixed values once more, stated apart from the package, so that a wrong list in one
-of the two shows as a mismatch of the registered queries and their SQL twins.
+"""The fixed values once more, stated apart from the package, so that a later edit of one of the
+two shows as a mismatch of the registered queries and their SQL twins. A value that is
+wrong in both does not show.
 """
 
 # --- Fixed values: these lists and limits define the results, so they must not change. ---
