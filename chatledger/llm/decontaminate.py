@@ -23,10 +23,15 @@ The bitmap and the count only rule out; nothing that qualifies is lost. Document
 shuffled: the benchmark's index is broadcast, in blocks of at most ``BLOCK_CHARS``
 characters, one pass over the documents each. Long texts are searched in windows.
 
-Null and empty texts hold nothing; benchmark rows that are null or have fewer than
-``LEAST`` characters identify nothing and never match; repeated document or benchmark rows
-each get their own result rows; empty tables give empty results. Only key and text columns
-are read, so other names cannot clash.
+An item of fewer than ``LEAST`` characters, for which the lemma promises no shared q-gram, must
+occur whole and without edits, not as a part of longer words; all such items are looked up in one
+pass by an automaton. So a very short item (``yes``) is found in every text that says it: leave it
+out of the benchmark if that isn't wanted. The span is its first occurrence.
+
+Null and empty texts hold nothing; benchmark rows that are null, empty or blank identify
+nothing and never match; repeated document or benchmark rows each get their own result
+rows; empty tables give empty results. Only key and text columns are read, so other names
+cannot clash.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ import math
 import re
 from collections import defaultdict
 
+import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,6 +79,15 @@ def normalised(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.where(blank, np.uint32(32), codes)[at], at
 
 
+def _string(codes: np.ndarray) -> str:
+    return codes.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def _in_word(text: str, at: int) -> bool:
+    """Whether a word goes on over the place before character ``at``."""
+    return 0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
+
+
 def _hashes(codes: np.ndarray) -> np.ndarray:
     """A rolling hash of each Q (8) characters, by doubling."""
     h = codes.astype(np.uint64)
@@ -126,9 +141,12 @@ class Index:
 
     def __init__(self, items: list[tuple]):
         pieces, owners, hashes, entries, sizes, starts = [], [], [], [], [], []
+        short = defaultdict(list)
         for item, text in items:
             codes, _ = normalised((text or "").strip())
             if len(codes) < LEAST:
+                if len(codes):
+                    short[_string(codes)].append(item)
                 continue
             m = min(PASSAGE, len(codes))
             for low in range(0, len(codes) - m + 1, PIECE):
@@ -162,6 +180,12 @@ class Index:
             if some.any():
                 self.tests.append((int((self.sizes + self.edits)[some].max()) - Q + 1, int(self.needed[some].min())))
         self.reach = PASSAGE + PASSAGE // EDIT_EVERY + Q
+        #: whole items that are too short for passages
+        self.short = ahocorasick.Automaton() if short else None
+        for words, whose in short.items():
+            self.short.add_word(words, (len(words), whose))
+        if short:
+            self.short.make_automaton()
 
     def stretches(self, marked: np.ndarray) -> np.ndarray:
         """Marked positions in some row that has enough of them."""
@@ -182,9 +206,13 @@ class Index:
         out: list[list[dict]] = [[] for _ in texts]
         waiting, size = [], 0
         for number, text in enumerate(texts):
-            if not text or not len(self.grams):
+            if not text:
                 continue
             codes, at = normalised(text)
+            if self.short is not None:
+                out[number] += self._whole(_string(codes), at)
+            if not len(self.grams):
+                continue
             found = [
                 self._window(codes, low, min(len(codes), low + _WINDOW + 2 * self.reach))
                 for low in range(0, max(1, len(codes) - self.reach), _WINDOW)
@@ -200,6 +228,19 @@ class Index:
         self._verify(waiting, out)
         return out
 
+    def _whole(self, text: str, at: np.ndarray) -> list[dict]:
+        """The short items in a normalised text, each where it occurs first."""
+        first: dict[int, tuple[list, int, int]] = {}
+        for last, (size, whose) in self.short.iter(text):
+            begin, end = last - size + 1, last + 1
+            if id(whose) not in first and not _in_word(text, begin) and not _in_word(text, end):
+                first[id(whose)] = whose, begin, end
+        return [
+            {"item": item, "start": int(at[begin]), "end": int(at[end - 1]) + 1, "edits": 0, "passages": 1}
+            for whose, begin, end in first.values()
+            for item in whose
+        ]
+
     def _window(self, codes: np.ndarray, low: int, high: int) -> np.ndarray:
         """(passage, first diagonal) of the bands with enough shared q-grams."""
         none = np.zeros((0, 2), dtype=np.int64)

@@ -16,15 +16,32 @@ def edits(pattern, text):
     return min(row)
 
 
+def first(text, item):
+    """Where a text first has the whole item, not inside longer words."""
+    codes, at = D.normalised(text or "")
+    text, item = "".join(map(chr, codes)), "".join(map(chr, D.normalised((item or "").strip())[0]))
+    border = lambda k: k in (0, len(text)) or not (text[k - 1].isalnum() and text[k].isalnum())
+    for k in range(len(text) - len(item) + 1) if item else ():
+        if text[k : k + len(item)] == item and border(k) and border(k + len(item)):
+            return int(at[k]), int(at[k + len(item) - 1]) + 1
+    return None
+
+
 def holds(text, item):
-    """Whether any passage of the item is in the text within its edit budget."""
-    norm = lambda t: D.normalised(t)[0].tolist()
-    code, whole = norm(item.strip()), norm(text)
-    last = max(0, len(code) - D.PASSAGE)
-    starts = sorted({*range(0, last + 1, D.STRIDE), last})
-    return len(code) >= D.LEAST and any(
-        edits(p := code[s : s + D.PASSAGE], whole) <= D.edits_allowed(len(p)) for s in starts
-    )
+    """Whether any window of the item is in the text within its edits, for all windows
+    at once, row by row as in ``edits``; a short item must be there whole."""
+    code, whole = D.normalised(item.strip())[0], D.normalised(text)[0]
+    if len(code) < 24:
+        return first(text, item) is not None
+    m = min(60, len(code))
+    windows = np.lib.stride_tricks.sliding_window_view(code, m)
+    steps = np.arange(len(whole) + 1)
+    rows = np.zeros((len(windows), len(whole) + 1), dtype=np.int64)
+    for i in range(m):
+        after = rows + 1
+        after[:, 1:] = np.minimum(after[:, 1:], rows[:, :-1] + (whole != windows[:, i : i + 1]))
+        rows = np.minimum.accumulate(after - steps, axis=1) + steps
+    return bool(rows.min() <= m // 12)
 
 
 def changed(rnd, text, n):
@@ -129,21 +146,6 @@ def test_excerpts_at_every_offset(size):
     assert all(i in {h["item"][0] for h in hits} for i, hits in zip(want, index.find(texts)))
 
 
-def held(text, item):
-    """Whether any window of the item is in the text within its edits: ``edits`` row by
-    row, for all windows at once."""
-    code, whole = D.normalised(item.strip())[0], D.normalised(text)[0]
-    m = min(60, len(code))
-    windows = np.lib.stride_tricks.sliding_window_view(code, m)
-    steps = np.arange(len(whole) + 1)
-    rows = np.zeros((len(windows), len(whole) + 1), dtype=np.int64)
-    for i in range(m):
-        after = rows + 1
-        after[:, 1:] = np.minimum(after[:, 1:], rows[:, :-1] + (whole != windows[:, i : i + 1]))
-        rows = np.minimum.accumulate(after - steps, axis=1) + steps
-    return len(code) >= 24 and bool(rows.min() <= m // 12)
-
-
 @pytest.mark.parametrize("piece", [17, D.PIECE])
 def test_changed_excerpts_against_all_windows(monkeypatch, piece):
     """Against every window of every item, also over the borders of pieces and neighbours."""
@@ -157,7 +159,27 @@ def test_changed_excerpts_against_all_windows(monkeypatch, piece):
         a = rnd.randrange(max(1, len(part) - 75))
         part = changed(rnd, part[a : a + rnd.randint(56, 75)], rnd.randint(0, 9))
         text = words(rnd, 8) + " " + part + " " + words(rnd, 8)
-        want = {i for i, t in enumerate(items) if held(text, t)}
+        want = {i for i, t in enumerate(items) if holds(text, t)}
         assert {h["item"][0] for h in index.find([text])[0]} == want
         seen[bool(want)] += 1
     assert min(seen) > 10
+
+
+def test_short_items_are_found_whole(spark):
+    """Against a search at every place; whole words only, no edits, blanks and case aside."""
+    rnd = random.Random(11)
+    alphabet = "ab  cA1.?"
+    items = ["What is 2+2? Four", "  ", "", None, "yes", "a", "日本", *("".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 8))) for _ in range(60))]
+    items += ["yes"]  # a repeated row
+    texts = ["so:\n what IS  2+2?  four, he said", "What is 2+2? Fourteen", "what is 2+2? fou", "eyes, yes", "eyes", "日本", "日本語", "", None]
+    texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(150)]
+
+    want = sorted((d, i, *hit) for d, t in enumerate(texts) for i, x in enumerate(items) if (hit := first(t, x)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = D.contaminated(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.start, r.end) for r in got) == want and len(want) > 300
+    assert all((r.edits, r.passages) == (0, 1) for r in got)
+    found = {r.doc_id for r in got}
+    assert {0, 3, 5} <= found and {1, 2, 4, 6}.isdisjoint({d for d, i, *_ in want if i in (0, 4, 6)})
+    assert {r.doc_id for r in D.keep_clean(docs, bench).collect()} == set(range(len(texts))) - found
