@@ -76,6 +76,15 @@ def _table_order(periods: Sequence[Period] | None) -> list[str]:
     return [f"CASE {places} END"]
 
 
+def _preference(table: DataFrame, kind: ReportKind, periods: Sequence[Period] | None) -> str:
+    order = [f"{c} DESC NULLS LAST" for c in kind.prefer if c in table.columns]
+    if PERIOD[0] in table.columns:
+        order += _table_order(periods)
+    if "atendido" in table.columns:
+        order.append("atendido DESC")
+    return ", ".join(order) or "1"
+
+
 def latest_per_case(
     table: DataFrame, kind: ReportKind, periods: Sequence[Period] | None = None
 ) -> DataFrame:
@@ -84,15 +93,54 @@ def latest_per_case(
 
     Filtering ``row_number() = 1`` makes Spark keep one candidate per case and map
     task before the shuffle."""
-    order = [f"{c} DESC NULLS LAST" for c in kind.prefer if c in table.columns]
-    if PERIOD[0] in table.columns:
-        order += _table_order(periods)
-    if "atendido" in table.columns:
-        order.append("atendido DESC")
-    place = f"row_number() OVER (PARTITION BY nro_caso ORDER BY {', '.join(order) or '1'}) AS rn"
+    place = f"row_number() OVER (PARTITION BY nro_caso ORDER BY {_preference(table, kind, periods)}) AS rn"
     return table.selectExpr("*", place).where("rn = 1").drop("rn")
 
 
+def candidates(table: DataFrame, kind: ReportKind) -> DataFrame:
+    """The rows of each case that an incremental unify keeps: the best and the second best, of
+    different periods, with their ``lugar``, and ``resto``, whether other periods have the
+    case, too. What is not kept ranks below what is."""
+    order, alike = _preference(table, kind, None), table.repartition("nro_caso")  # for both windows
+    first = f"row_number() OVER (PARTITION BY nro_caso, {', '.join(PERIOD)} ORDER BY {order}) AS lugar"
+    best = alike.selectExpr("*", first).where("lugar = 1").drop("lugar")
+    places = best.selectExpr(
+        "*",
+        f"row_number() OVER (PARTITION BY nro_caso ORDER BY {order}) AS lugar",
+        "count(*) OVER (PARTITION BY nro_caso) > 2 AS resto",
+    )
+    return places.where("lugar <= 2")
+
+
+def merge_candidates(kept: DataFrame, fresh: DataFrame, kind: ReportKind, changed: Sequence[Period]) -> DataFrame:
+    """``kept`` candidates after the ``changed`` periods got the rows ``fresh`` (none for a period
+    that was removed), with ``perdido``: of these cases nothing is known any more, as
+    all that was kept was of a changed period and there was more. Each such case is one row.
+
+    Where more was left out, a new row counts only down to the last row that stays: below it may
+    rank what was left out."""
+    table = kept.drop("lugar", "resto")
+    order, columns = _preference(table, kind, None), [f"`{c}`" for c in table.columns]
+    old = kept.drop("lugar").withColumn("estado", F.expr(f"if({one_of(changed)}, 2, 0)"))
+    new = candidates(fresh, kind).drop("lugar").withColumns({"resto": F.lit(False), "estado": F.lit(1)})
+    both = "(PARTITION BY nro_caso)"
+    # rows of changed periods (2) come last; then places are those of the rows that stay
+    ranked = old.unionByName(new).selectExpr(
+        *columns,
+        "estado",
+        f"row_number() OVER (PARTITION BY nro_caso ORDER BY estado = 2, {order}) AS lugar",
+        f"bool_or(resto) OVER {both} AS habia",
+        f"count_if(estado < 2) OVER {both} AS quedan",
+    ).selectExpr("*", f"max(CASE WHEN estado = 0 THEN lugar END) OVER {both} AS ultimo")
+    stays = "estado < 2 AND lugar <= if(habia, least(2, coalesce(ultimo, 0)), 2)"
+    return ranked.selectExpr(
+        *columns,
+        "lugar",
+        "habia OR quedan > 2 AS resto",
+        f"if({stays}, false, if(habia AND ultimo IS NULL AND lugar = 1, true, NULL)) AS perdido",
+    ).where("perdido IS NOT NULL")
+
+
 def sort_unified(table: DataFrame, kind: ReportKind) -> DataFrame:
     """O2: final order. The case number breaks ties, which also lets the range
     partitioning split a date that very many rows share."""

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chatledger.operators import audit as A
 from chatledger.operators import unify as U
@@ -14,7 +16,7 @@ from chatledger.operators.cleaning import clean_messages, reject_reason, rows_be
 from chatledger.operators.report import build_cases, build_report
 from chatledger.rules import DEFAULT_RULES, Rules
 from chatledger.schemas import AUDIT, CASE_RESULTS, CASES, MESSAGES, METRICS, REPORT
-from chatledger.sources import audits, tables
+from chatledger.sources import audits, tables, versions
 
 
 #: Reasons that a row with a readable time can be rejected for.
@@ -192,9 +194,45 @@ def unify_tables(
     if U.select_periods(available, since, until, periods).isEmpty():
         raise ValueError("no rows in the selected periods; the unified table was left as it is")
     table = U.unify(available, kind, since, until, periods, dedup)
+    return _write_unified(table, to, kind, schema, csv)
+
+
+def _write_unified(table: DataFrame, to: Folders, kind: U.ReportKind, schema: T.StructType, csv: bool) -> DataFrame:
     path, csv_path = to.unified(kind)
     tables.write_sorted(table, path)
-    stored = tables.read_sorted(spark, path, schema)
+    stored = tables.read_sorted(table.sparkSession, path, schema)
     if csv:
         tables.write_csv(stored, csv_path)
     return stored.drop(tables.ORDER_COLUMN)
+
+
+def refresh_unified(
+    spark: SparkSession,
+    base: str,
+    kind: U.ReportKind = U.REPORTS,
+    changed: Sequence[U.Period] | None = None,
+    csv: bool = True,
+) -> DataFrame:
+    """C6 for all periods, without reading those that are not ``changed`` (written anew, new, or
+    removed) since the last refresh. The best two rows of each case are kept for that, as a
+    versioned table. Only cases whose kept rows are all of changed periods, while more periods have
+    them, are looked up in the other periods. Without ``changed``, or the first time, all is read."""
+    to = Folders(base)
+    source, schema = (to.reports, REPORT) if kind.name == U.REPORTS.name else (to.cases, CASES)
+    path = f"{to.unified(kind)[0]}_candidatos"
+    available = tables.read_periods(spark, source, schema)
+    if changed is not None and versions.present(spark, path):
+        columns = T.StructType([*available.schema.fields, T.StructField("lugar", T.IntegerType()), T.StructField("resto", T.BooleanType())])
+        kept = versions.read(spark, path, columns, versions.WHOLE)
+        merged = U.merge_candidates(kept, available.where(U.one_of(changed)), kind, changed)
+        # written, as it is read for what stays and for what is lost
+        work = f"{path}_mezcla"
+        versions.write(merged, work)
+        merged = versions.read(spark, work, T.StructType([*columns.fields, T.StructField("perdido", T.BooleanType())]), versions.WHOLE)
+        found, lost = merged.where("NOT perdido").drop("perdido"), merged.where("perdido").select("nro_caso")
+        if not lost.isEmpty():
+            found = found.unionByName(U.candidates(available.join(lost, "nro_caso", "left_semi"), kind))
+    else:
+        found = U.candidates(available, kind)
+    best = spark.read.schema(found.schema).parquet(versions.write(found, path)).where("lugar = 1")
+    return _write_unified(U.sort_unified(best, kind).select(*schema.names), to, kind, schema, csv)

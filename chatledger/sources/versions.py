@@ -43,6 +43,10 @@ def _last(spark: SparkSession, base: str, key: str) -> tuple[int, bool]:
     return (rows[0].numero, rows[0].vigente) if rows else (0, False)
 
 
+def present(spark: SparkSession, base: str, key: str = WHOLE) -> bool:
+    return _last(spark, base, key)[1]
+
+
 def _point(spark: SparkSession, base: str, key: str, number: int, there: bool) -> None:
     spark.createDataFrame([(number, key, there)], _POINTER).coalesce(1).write.mode("append").parquet(f"{base}/puntero")
 

@@ -651,6 +651,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT * EXCLUDE (periodo_desde, periodo_hasta, calc_ts) FROM ({_LATEST.format(t='reporte')})",
         PM, report(),
     )
+    q["c6_incremental_unify"] = q["c6_unify_reports"]
     q["c6_unify_cases"] = periods(
         f"SELECT {_CASES_PERIOD} FROM ({_FIRST.format(t='tabla_casos')})", PM, PA, cases_table(PERIOD_KEYS)
     )

@@ -680,6 +680,20 @@ def c6_unify_range_no_dedup(spark, sf):
     )
 
 
+@query
+def c6_incremental_unify(spark, sf):
+    """A unified table after one of three periods, first stored with the rows of another,
+    was replaced, and only it was read again."""
+    base = scratch_dir(spark, "c6")
+    results, _ = stored_results(spark, sf, "c6_resultados")
+    report = B.build_report(kept(results))
+    for period, rows in zip(PERIODS, (PERIODS[0], PERIODS[2], PERIODS[2])):
+        tables.write_period(of_period(report, rows), f"{base}/reporte", *period, REPORT)
+    P.refresh_unified(spark, base, csv=False)
+    tables.write_period(of_period(report, SECOND), f"{base}/reporte", *SECOND, REPORT)
+    return P.refresh_unified(spark, base, changed=[SECOND], csv=False)
+
+
 @query
 def c7_run_period(spark, sf):
     return P.run_period(
