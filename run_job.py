@@ -3,7 +3,7 @@
     spark-submit run_job.py period --source PATH --base PATH [--day D | --since D --until D]
     spark-submit run_job.py period --jdbc-url URL --table NAME [--user U] --base PATH [dates]
     spark-submit run_job.py report --base PATH [--day D | --since D --until D]
-    spark-submit run_job.py unify --base PATH [--kind casos] [--since D --until D | --periods P ..] [--no-dedup]
+    spark-submit run_job.py unify --base PATH [--kind casos] [--since D --until D | --periods P .. | --changed P ..] [--no-dedup]
     spark-submit run_job.py audit periods --base PATH
     spark-submit run_job.py audit overview --base PATH --out PATH
     spark-submit run_job.py audit remove|restore --base PATH --period P
@@ -57,6 +57,7 @@ def parser() -> argparse.ArgumentParser:
     jobs.choices["unify"].add_argument("--kind", choices=sorted(KINDS), default=U.REPORTS.name)
     jobs.choices["unify"].add_argument("--no-dedup", dest="dedup", action="store_false")
     jobs.choices["unify"].add_argument("--periods", nargs="+", type=period)
+    jobs.choices["unify"].add_argument("--changed", nargs="+", type=period)
     audit = jobs.add_parser("audit")
     audit.add_argument("what", choices=("periods", "overview", "remove", "restore"))
     audit.add_argument("--base", required=True, help="folder of all tables")
@@ -101,6 +102,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         elif given.job == "unify":
             if (given.since is None) != (given.until is None):
                 raise ValueError("give both dates of the range")
+            if given.changed and (given.since or given.periods or not given.dedup):
+                raise ValueError("--changed refreshes the unified table of all periods, one row per case")
         else:
             dates = P.resolve_period(given.day, given.since, given.until)
         if given.job == "period" and not given.only_metrics:
@@ -121,6 +124,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     elif given.job == "audit":
         if wrong := audit_job(spark, given):
             top.error(wrong)
+    elif given.changed:
+        P.refresh_unified(spark, given.base, KINDS[given.kind], given.changed, given.csv)
     else:
         P.unify_tables(
             spark, given.base, KINDS[given.kind], given.since, given.until, given.periods, given.dedup, given.csv

@@ -1,7 +1,9 @@
 """Files and whole jobs: periods, CSV, audit documents, reports, unified tables."""
 
 import datetime as dt
+import glob
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,8 +109,6 @@ def test_unify(spark, base, kind, schema):
 
 def test_unified_table_is_sorted(spark, base):
     """One range exchange in the job; rows and CSV files follow each other in order."""
-    import glob
-
     table = U.unify(tables.read_periods(spark, f"{base}/reporte", REPORT), U.REPORTS)
     assert table._jdf.queryExecution().executedPlan().toString().count("rangepartitioning") == 1
     P.unify_tables(spark, base)
@@ -305,6 +305,17 @@ def test_audit_and_periods_from_the_shell(spark, sf_dir, tmp_path, capsys):
         run_job.main(["audit", "remove", *base, "--period", "2024-01-01_2024-01-02"], spark)
     run_job.main(["audit", "restore", *base, "--period", "2024-01-01_2024-01-02"], spark)
     assert audits.list_audit_periods(spark, f"{tmp_path}/out/auditoria_general").count() == 2
+    unified, changed = P.Folders(f"{tmp_path}/out").unified(U.REPORTS)[0], ["unify", "--no-csv", *base, "--changed", "2024-01-02_2024-01-04"]
+    run_job.main(changed, spark)  # the first time, all is read
+    want = sorted(map(str, tables.read_sorted(spark, unified, REPORT).collect()))
+    for file in glob.glob(f"{tmp_path}/out/reporte/*2024-01-01*/**/*.parquet", recursive=True):
+        with open(file, "wb") as spoilt:
+            spoilt.write(b"not read")
+        os.remove(os.path.join(os.path.dirname(file), f".{os.path.basename(file)}.crc"))
+    with pytest.raises(Exception):
+        tables.read_periods(spark, f"{tmp_path}/out/reporte", REPORT).collect()
+    run_job.main(changed, spark)
+    assert sorted(map(str, tables.read_sorted(spark, unified, REPORT).collect())) == want and len(want) > 10
     for wrong in (["unify", *base, "--periods", "2024-01-02"], ["audit", "remove", *base], ["period", *base],
                   ["period", *base, "--jdbc-url", "jdbc:x"], ["period", *base, "--source", "x", "--jdbc-url", "jdbc:x", "--table", "t"]):
         with pytest.raises(SystemExit):
